@@ -23,10 +23,12 @@ def skewed_values(df: DataFrame, column: str, share: float) -> DataFrame:
     """Values of ``column`` whose share of the rows is at least ``share``.
 
     Counts are aggregated first (map-side combine); the total is a scalar
-    subquery, so nothing is joined or broadcast but one number.
+    subquery over those counts, so the input is scanned and shuffled once
+    (the subquery reuses the same exchange) and nothing but one number is
+    broadcast.
     """
-    total = df.select(F.count(F.lit(1))).scalar()
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.select(F.sum("n")).scalar()
     return counts.select(column, "n", (F.col("n") / total).alias("share")).where(
         F.col("share") >= F.lit(share)
     )

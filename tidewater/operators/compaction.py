@@ -49,9 +49,11 @@ def compact(
     """
     src = spark.read.schema(schema).parquet(src_root)
     target = int(target_mb) * 1024 * 1024
+    # One row per partition, used twice (size check, join): cached, and
+    # recomputed from its lineage if an executor holding it is lost.
     sizes = partition_sizes(src, keys).withColumn(
         "_n", F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("bytes") / F.lit(target)).cast("bigint"))
-    )
+    ).cache()
     small_enough = sizes.count() <= BROADCAST_MAX_PARTITIONS
     plan = sizes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_n")
     plan = F.broadcast(plan) if small_enough else plan
@@ -68,6 +70,7 @@ def compact(
         .partitionBy(*keys)
         .parquet(dst_root)
     )
+    sizes.unpersist()
     return sizes
 
 

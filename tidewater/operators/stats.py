@@ -39,7 +39,7 @@ def _kind(dt: T.DataType) -> str:
     return "other"
 
 
-def column_stats(df: DataFrame, keys=(), columns=None, exact: bool = True, len_digits: int = 6) -> DataFrame:
+def column_stats(df: DataFrame, keys=(), columns=None, exact: bool = False, len_digits: int = 6) -> DataFrame:
     """Per column (and per group of ``keys``): low/high, nulls, distinct,
     average and maximum length, trues and falses."""
     keys = list(keys)
