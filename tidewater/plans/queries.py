@@ -309,7 +309,9 @@ def compact_q(spark, sf_dir):
     frequent appends do), compacted into a new root."""
     base = workspace(spark, "compact")
     rows = with_event_hour(event_fixture(spark, sf_dir))
-    rows.repartition(2).write.partitionBy(*PARTITION_KEYS).parquet(f"{base}/src")
+    # two files per partition, written by many tasks
+    salt = F.col("event_id") % 2
+    rows.repartition(16, *PARTITION_KEYS, salt).write.partitionBy(*PARTITION_KEYS).parquet(f"{base}/src")
     compact(spark, f"{base}/src", f"{base}/dst", target_mb=1, schema=LANDED_WITH_ID)
     return read_landed(spark, f"{base}/dst", schema=LANDED_WITH_ID)
 

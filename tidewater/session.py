@@ -43,9 +43,8 @@ def build_session(
 ) -> SparkSession:
     """Session with UTC time, ANSI left on, AQE and the scale settings.
 
-    ``hive=True`` is the Hive-enabled session of the batch copy job: with
-    ``metastore_uri`` it talks to a remote metastore, otherwise Spark's
-    embedded one is placed under the shared scratch folder.
+    ``hive=True`` is the Hive-enabled session of the batch copy job; it talks
+    to the cluster's metastore (``metastore_uri`` or hive-site.xml).
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -59,16 +58,11 @@ def build_session(
     for k, v in (conf or {}).items():
         b = b.config(k, v)
     if hive:
+        # The metastore is the cluster's (hive-site.xml on the classpath, or
+        # ``metastore_uri``); no embedded metastore database is started here.
         b = b.config("spark.sql.catalogImplementation", "hive")
         if metastore_uri:
             b = b.config("spark.hadoop.hive.metastore.uris", metastore_uri)
-        else:
-            meta = tempfile.mkdtemp(prefix="tidewater-meta-")
-            b = (
-                b.config("spark.hadoop.javax.jdo.option.ConnectionURL",
-                         f"jdbc:derby:;databaseName={meta}/metastore_db;create=true")
-                .config("spark.sql.warehouse.dir", f"{meta}/warehouse")
-            )
         b = b.enableHiveSupport()
     return b.getOrCreate()
 
