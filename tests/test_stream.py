@@ -75,3 +75,31 @@ def test_explicit_start_offsets(spark, scratch):
     want = env.where(((F.col("partition") == 0) & (F.col("offset") >= 100)) | (F.col("partition") == 1)
                      | ((F.col("partition") == 2) & (F.col("offset") >= 300))).count()
     assert read_landed(spark, f"{base}/out").count() == want
+
+
+def test_fan_out_lands_once_and_feeds_extra_sinks(spark, scratch, capsys):
+    from tidewater.streaming.ingest import preview_sink
+
+    base = scratch("fan")
+    env = envelope_fixture(spark, SF001, chunk=True)
+    days = F.col("chunk").isin("20240105", "20240106")
+    write_replay(env.where(days), f"{base}/topic", chunk="chunk")
+    seen = []
+
+    def count_sink(batch, batch_id):
+        seen.append((batch_id, batch.count()))
+
+    def run():
+        e = event_envelope(spark, "replay", path=f"{base}/topic", starting="earliest",
+                           checkpoint=f"{base}/ck", max_files_per_trigger=1)
+        return run_ingest(start_ingest(e, f"{base}/out", f"{base}/ck", once=True,
+                                       extra_sinks=(count_sink, preview_sink(3))))
+
+    q = run()
+    total = env.where(days).count()
+    assert sum(n for _, n in seen) == total and len(seen) == 2
+    assert read_landed(spark, f"{base}/out").count() == total
+    assert sum(m["records"] for m in ingest_metrics(q)) == total
+    assert "batch 0" in capsys.readouterr().out
+    run()  # restart: nothing new
+    assert read_landed(spark, f"{base}/out").count() == total

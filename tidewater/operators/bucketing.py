@@ -10,9 +10,20 @@ def write_bucketed(df: DataFrame, table: str, n: int, key, path: str, sort: bool
     """External table of ``n`` buckets hashed on ``key``, sorted inside each
     bucket. Rows are unchanged. Two tables bucketed the same way on the join
     key join bucket-to-bucket: neither side is shuffled again.
+
+    A REBALANCE on the key first gathers each bucket's rows (the shuffle
+    hashes like the bucketing does), so every task writes few bucket files
+    instead of one per bucket; AQE sizes the tasks and can split a hot
+    bucket over several files.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    w = df.write.mode("overwrite").format("parquet").option("path", path).bucketBy(n, *keys)
+    w = (
+        df.hint("rebalance", *keys)
+        .write.mode("overwrite")
+        .format("parquet")
+        .option("path", path)
+        .bucketBy(n, *keys)
+    )
     if sort:
         w = w.sortBy(*keys)
     w.saveAsTable(table)

@@ -77,15 +77,20 @@ def shared_root(spark: SparkSession) -> str:
 
     Set only where it is unset, as in tests.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, read the setting
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tidewater-ckpt-")
-    sc.setCheckpointDir(root)
-    return sc.getCheckpointDir().rstrip("/")
+    root = tempfile.mkdtemp(prefix="tidewater-ckpt-")
+    if sc is not None:
+        sc.setCheckpointDir(root)
+        return sc.getCheckpointDir().rstrip("/")
+    return root
 
 
 def workspace(spark: SparkSession, name: str) -> str:

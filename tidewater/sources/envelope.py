@@ -106,8 +106,14 @@ def event_envelope(
     max_files_per_trigger: int | None = None,
     latest_first: bool = False,
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
-    """Streaming DataFrame of envelope records from Kafka or replay files."""
+    """Streaming DataFrame of envelope records from Kafka or replay files.
+
+    For Kafka, ``min_partitions`` splits large topic-partitions into several
+    Spark tasks per micro-batch, so decode parallelism is not capped by the
+    topic's partition count; ``max_offsets_per_trigger`` bounds a batch.
+    """
     if kind == "kafka":
         r = (
             spark.readStream.format("kafka")
@@ -118,6 +124,8 @@ def event_envelope(
         )
         if max_offsets_per_trigger:
             r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+        if min_partitions:
+            r = r.option("minPartitions", str(min_partitions))
         raw = r.load()
         return raw.select(F.col("key").cast("string").alias("key"), *ENVELOPE_COLUMNS[1:])
     if kind != "replay":

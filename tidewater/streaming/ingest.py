@@ -44,26 +44,70 @@ def start_ingest(
     keep=(),
     engine: str = "python",
     query_name: str | None = None,
+    extra_sinks=(),
 ) -> StreamingQuery:
     """Start landing the stream under ``root/event_date=…/event_hour=…``.
 
     ``every`` is the micro-batch interval; ``once=True`` processes what is
     available now and stops (tests, backfills).
+
+    Without ``extra_sinks`` the landing is Spark's file sink: exactly once.
+    With them (callables ``(batch_df, batch_id)``), every micro-batch is
+    decoded once, persisted, landed, then handed to each sink; a marker per
+    landed batch under the checkpoint keeps a replayed batch from landing
+    twice, while the extra sinks see a replayed batch again (at least once).
     """
-    w = (
-        ingest_frame(envelope, keep, engine)
-        .writeStream.format("parquet")
-        .partitionBy(*PARTITION_KEYS)
-        .option("path", root)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-    )
+    frame = ingest_frame(envelope, keep, engine)
+    if extra_sinks:
+        w = frame.writeStream.foreachBatch(_fan_out(root, checkpoint, tuple(extra_sinks)))
+    else:
+        w = (
+            frame.writeStream.format("parquet")
+            .partitionBy(*PARTITION_KEYS)
+            .option("path", root)
+            .outputMode("append")
+        )
+    w = w.option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime=every)
     return w.start()
 
 
+def _fan_out(root: str, checkpoint: str, sinks):
+    from pyspark.errors import AnalysisException
+
+    from tidewater.operators.sinks import append_events
+
+    def each_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        marker = f"{checkpoint.rstrip('/')}/_landed/batch_id={batch_id}"
+        batch.persist()
+        try:
+            try:
+                spark.read.parquet(marker)
+                landed = True
+            except AnalysisException:
+                landed = False
+            if not landed:
+                append_events(batch, root)
+                spark.range(1).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(marker)
+            for sink in sinks:
+                sink(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return each_batch
+
+
+def preview_sink(rows: int = 10):
+    """Extra sink printing the first ``rows`` events of each batch."""
+    def show(batch: DataFrame, batch_id: int) -> None:
+        print(f"batch {batch_id}")
+        batch.show(rows, truncate=False)
+    return show
+
+
 def run_ingest(query: StreamingQuery, timeout: float | None = None) -> StreamingQuery:
     """Wait for the query; a failure is re-raised, not swallowed."""
     query.awaitTermination(timeout)
