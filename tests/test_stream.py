@@ -103,3 +103,22 @@ def test_fan_out_lands_once_and_feeds_extra_sinks(spark, scratch, capsys):
     assert "batch 0" in capsys.readouterr().out
     run()  # restart: nothing new
     assert read_landed(spark, f"{base}/out").count() == total
+
+
+def test_dropped_progress_is_reported_not_undercounted(spark, scratch):
+    import pytest
+
+    from tidewater.streaming.ingest import PROGRESS_RETENTION
+
+    base = scratch("retain")
+    env = envelope_fixture(spark, SF001, chunk=True)
+    write_replay(env.where(F.col("chunk").isin("20240107", "20240108", "20240109")), f"{base}/topic",
+                 chunk="chunk")
+    old = spark.conf.get(PROGRESS_RETENTION)
+    spark.conf.set(PROGRESS_RETENTION, "2")
+    try:
+        q = _run(spark, f"{base}/topic", f"{base}/out", f"{base}/ck", max_files_per_trigger=1)
+    finally:
+        spark.conf.set(PROGRESS_RETENTION, old)
+    with pytest.raises(RuntimeError, match="dropped"):
+        ingest_metrics(q, first_batch=0)

@@ -32,7 +32,7 @@ from tidewater.sources.envelope import event_envelope, read_replay, write_replay
 from tidewater.sources.fixtures import envelope_fixture, event_fixture
 from tidewater.sources.landed import read_landed, read_partition_dir
 from tidewater.sources.tables import read_table, register_catalog, save_view
-from tidewater.streaming.ingest import ingest_metrics, run_ingest, start_ingest
+from tidewater.streaming.ingest import PROGRESS_RETENTION, ingest_metrics, run_ingest, start_ingest
 
 # Fixed values of the test queries.
 PURCHASE = "purchase"
@@ -228,9 +228,15 @@ def batch_metrics(spark, sf_dir):
     """Per-batch records and rejects from the stream's observed metrics, one
     replay file (one date) per micro-batch; a row per batch, not per record."""
     base = _stream_root(spark, sf_dir, "metrics", corrupt=CORRUPT_EVERY)
-    q = _ingest(spark, f"{base}/topic", f"{base}/landed", f"{base}/ck", max_files_per_trigger=1)
+    n_files = len(read_replay(spark, f"{base}/topic").inputFiles())
+    old = spark.conf.get(PROGRESS_RETENTION)
+    spark.conf.set(PROGRESS_RETENTION, str(max(int(old), n_files + 10)))
+    try:
+        q = _ingest(spark, f"{base}/topic", f"{base}/landed", f"{base}/ck", max_files_per_trigger=1)
+    finally:
+        spark.conf.set(PROGRESS_RETENTION, old)
     rows = [(int(m["batch_id"]), int(m["records"]), int(m["rejects"]), str(m["first_date"]))
-            for m in ingest_metrics(q)]
+            for m in ingest_metrics(q, first_batch=0)]
     per_batch = spark.createDataFrame(rows, _METRICS_SCHEMA)
     return per_batch.groupBy(F.col("first_date").alias("event_date")).agg(
         F.sum("records").alias("records"), F.sum("rejects").alias("rejects")

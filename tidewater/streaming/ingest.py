@@ -117,11 +117,25 @@ def run_ingest(query: StreamingQuery, timeout: float | None = None) -> Streaming
     return query
 
 
-def ingest_metrics(query: StreamingQuery, name: str = METRICS_NAME) -> list[dict]:
+PROGRESS_RETENTION = "spark.sql.streaming.numRecentProgressUpdates"
+
+
+def ingest_metrics(query: StreamingQuery, name: str = METRICS_NAME, first_batch: int | None = None) -> list[dict]:
     """Observed metrics of the recent micro-batches (batch id, records,
-    rejects, first event date)."""
+    rejects, first event date).
+
+    The query keeps only the last ``spark.sql.streaming.numRecentProgressUpdates``
+    progress reports; with ``first_batch`` a report missing from
+    ``first_batch`` on raises instead of silently under-counting.
+    """
+    progress = query.recentProgress
+    if first_batch is not None and progress and progress[0].batchId > first_batch:
+        raise RuntimeError(
+            f"progress of batches {first_batch}..{progress[0].batchId - 1} was dropped; "
+            f"raise {PROGRESS_RETENTION}"
+        )
     out = []
-    for p in query.recentProgress:
+    for p in progress:
         m = (p.observedMetrics or {}).get(name)
         if m is not None:
             out.append({"batch_id": p.batchId, **m.asDict()})
