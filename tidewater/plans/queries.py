@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +28,7 @@ from tidewater.operators.keys import duplicate_keys, orphans
 from tidewater.operators.sinks import append_events, overwrite_csv, overwrite_parquet, read_csv
 from tidewater.operators.stats import column_stats
 from tidewater.plans import sql as Q
-from tidewater.session import pin_utc, unique_name, workspace
+from tidewater.session import pin_utc, shared_root, unique_name, workspace
 from tidewater.sources.envelope import event_envelope, read_replay, write_replay
 from tidewater.sources.fixtures import envelope_fixture, event_fixture
 from tidewater.sources.landed import read_landed, read_partition_dir
@@ -81,10 +82,36 @@ def _landed(spark: SparkSession, sf_dir: str, name: str) -> str:
     return root
 
 
-def _stream_root(spark, sf_dir, name, corrupt=None):
-    base = workspace(spark, name)
-    write_replay(envelope_fixture(spark, sf_dir, corrupt_every=corrupt, chunk=True), f"{base}/topic", chunk="chunk")
-    return base
+_SHARED: dict[tuple, str] = {}
+
+
+def _shared(spark: SparkSession, key: tuple, name: str, build) -> str:
+    """A table written once per shared root and key, then read by many
+    queries (land once, query many). Rebuilt if its folder is gone."""
+    k = (shared_root(spark), *key)
+    path = _SHARED.get(k)
+    if path is not None:
+        try:
+            spark.read.schema("x int").parquet(path)  # path still resolves
+            return path
+        except AnalysisException:
+            pass
+    path = workspace(spark, name)
+    build(path)
+    _SHARED[k] = path
+    return path
+
+
+def _landed_table(spark: SparkSession, sf_dir: str) -> str:
+    """The landed event table (fixture + hour) that read-side queries scan."""
+    return _shared(spark, ("landed", sf_dir), "landed-shared",
+                   lambda p: append_events(with_event_hour(event_fixture(spark, sf_dir)), p))
+
+
+def _replay_topic(spark: SparkSession, sf_dir: str, corrupt: int | None = None) -> str:
+    """Replay files of the envelope, one directory per event date."""
+    return _shared(spark, ("topic", sf_dir, corrupt), "topic-shared", lambda p: write_replay(
+        envelope_fixture(spark, sf_dir, corrupt_every=corrupt, chunk=True), p, chunk="chunk"))
 
 
 def _key_to_id(df: DataFrame) -> DataFrame:
@@ -136,12 +163,12 @@ _LEAF_COLS = Q.FX_COLS.replace("event_date, ", "") + ", event_hour"
 
 @query("leaf_scan", Q.with_fixture(f"SELECT {_LEAF_COLS} FROM fx WHERE event_date = '{ONE_DATE}'"))
 def leaf_scan(spark, sf_dir):
-    return read_partition_dir(spark, _landed(spark, sf_dir, "leaf"), ONE_DATE, schema=LANDED_WITH_ID)
+    return read_partition_dir(spark, _landed_table(spark, sf_dir), ONE_DATE, schema=LANDED_WITH_ID)
 
 
 @query("pruned_scan", Q.with_fixture(f"SELECT {Q.LANDED_COLS} FROM fx WHERE event_date = '{ONE_DATE}'"))
 def pruned_scan(spark, sf_dir):
-    return read_landed(spark, _landed(spark, sf_dir, "pruned"), date=ONE_DATE, schema=LANDED_WITH_ID)
+    return read_landed(spark, _landed_table(spark, sf_dir), date=ONE_DATE, schema=LANDED_WITH_ID)
 
 
 @query("limit_100", Q.with_fixture(
@@ -183,16 +210,16 @@ def _ingest(spark, topic, out, ck, **kw):
 
 @query("stream_ingest", Q.with_fixture(f"SELECT {Q.LANDED_COLS} FROM fx"))
 def stream_ingest(spark, sf_dir):
-    base = _stream_root(spark, sf_dir, "stream")
-    _ingest(spark, f"{base}/topic", f"{base}/landed", f"{base}/ck", max_files_per_trigger=10)
+    topic, base = _replay_topic(spark, sf_dir), workspace(spark, "stream")
+    _ingest(spark, topic, f"{base}/landed", f"{base}/ck", max_files_per_trigger=10)
     return _key_to_id(read_landed(spark, f"{base}/landed", schema=LANDED_WITH_KEY))
 
 
 @query("late_data", Q.with_fixture(
     "SELECT event_date, event_hour, count(*) AS n FROM fx GROUP BY event_date, event_hour"))
 def late_data(spark, sf_dir):
-    base = _stream_root(spark, sf_dir, "late")
-    _ingest(spark, f"{base}/topic", f"{base}/landed", f"{base}/ck", max_files_per_trigger=10, latest_first=True)
+    topic, base = _replay_topic(spark, sf_dir), workspace(spark, "late")
+    _ingest(spark, topic, f"{base}/landed", f"{base}/ck", max_files_per_trigger=10, latest_first=True)
     return read_landed(spark, f"{base}/landed").groupBy(*PARTITION_KEYS).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -227,12 +254,12 @@ FROM events GROUP BY 1""")
 def batch_metrics(spark, sf_dir):
     """Per-batch records and rejects from the stream's observed metrics, one
     replay file (one date) per micro-batch; a row per batch, not per record."""
-    base = _stream_root(spark, sf_dir, "metrics", corrupt=CORRUPT_EVERY)
-    n_files = len(read_replay(spark, f"{base}/topic").inputFiles())
+    topic, base = _replay_topic(spark, sf_dir, CORRUPT_EVERY), workspace(spark, "metrics")
+    n_files = len(read_replay(spark, topic).inputFiles())
     old = spark.conf.get(PROGRESS_RETENTION)
     spark.conf.set(PROGRESS_RETENTION, str(max(int(old), n_files + 10)))
     try:
-        q = _ingest(spark, f"{base}/topic", f"{base}/landed", f"{base}/ck", max_files_per_trigger=1)
+        q = _ingest(spark, topic, f"{base}/landed", f"{base}/ck", max_files_per_trigger=1)
     finally:
         spark.conf.set(PROGRESS_RETENTION, old)
     rows = [(int(m["batch_id"]), int(m["records"]), int(m["rejects"]), str(m["first_date"]))
@@ -248,7 +275,7 @@ def batch_metrics(spark, sf_dir):
 @query("partition_sync", Q.with_fixture(
     "SELECT event_date, event_hour, count(*) AS n FROM fx GROUP BY event_date, event_hour"))
 def partition_sync(spark, sf_dir):
-    root = _landed(spark, sf_dir, "sync")
+    root = _landed_table(spark, sf_dir)
     table = unique_name("landed_events")
     register_landed(spark, table, root)
     sync_partitions(spark, table)
@@ -260,7 +287,7 @@ SELECT event_date, event_hour, count(*) AS rows, CAST(1 AS BIGINT) AS files,
        min(event_time) AS min_time, max(event_time) AS max_time
 FROM fx GROUP BY event_date, event_hour"""))
 def partition_inventory_q(spark, sf_dir):
-    return partition_inventory(read_landed(spark, _landed(spark, sf_dir, "inventory")))
+    return partition_inventory(read_landed(spark, _landed_table(spark, sf_dir)))
 
 
 _STAT_COLUMNS = [
@@ -326,7 +353,7 @@ def compact_q(spark, sf_dir):
 SELECT {Q.LANDED_COLS} FROM fx
 WHERE CAST(ts AS DATE) > (SELECT max(CAST(ts AS DATE)) FROM events) - INTERVAL {RETAIN_DAYS} DAY"""))
 def retention_q(spark, sf_dir):
-    root = _landed(spark, sf_dir, "retention")
+    root = _landed_table(spark, sf_dir)
     dst = workspace(spark, "retained")
     kept = retain(read_landed(spark, root, schema=LANDED_WITH_ID), "event_date", RETAIN_DAYS)
     append_events(kept, dst)
@@ -414,7 +441,7 @@ for _name, _text in (("sql_s1", Q.S1), ("sql_s2", Q.S2), ("sql_s3", Q.S3), ("sql
 def sql_s5(spark, sf_dir):
     """Landed-table report through a saved view over the landed root."""
     pin_utc(spark)
-    root = _landed(spark, sf_dir, "report")
+    root = _landed_table(spark, sf_dir)
     read_landed(spark, root).createOrReplaceTempView("landed_events")
     view = unique_name("landed_report")
     return save_view(spark, view, Q.S5_TEMPLATE.format(table="landed_events"))
