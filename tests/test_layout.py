@@ -94,3 +94,11 @@ def test_limit_and_parquet_overwrite(spark, scratch):
 def test_landed_schema_order():
     names = [f.name for f in LANDED_SCHEMA.fields]
     assert names[0] == "event_time" and names[-2:] == ["event_date", "event_hour"]
+
+
+def test_preview_prints_rows(spark, capsys):
+    from tidewater.operators.sinks import preview
+
+    preview(people(spark), n=2)
+    out = capsys.readouterr().out
+    assert "Alice" in out and "only showing top 2 rows" in out

@@ -122,3 +122,15 @@ def test_dropped_progress_is_reported_not_undercounted(spark, scratch):
         spark.conf.set(PROGRESS_RETENTION, old)
     with pytest.raises(RuntimeError, match="dropped"):
         ingest_metrics(q, first_batch=0)
+
+
+def test_stream_head_print(spark, scratch):
+    from tidewater.streaming.ingest import start_preview
+
+    base = scratch("head")
+    write_replay(envelope_fixture(spark, SF001).where(F.col("offset") < 20), f"{base}/topic")
+    env = event_envelope(spark, "replay", path=f"{base}/topic", starting="earliest")
+    q = run_ingest(start_preview(env, rows=3, once=True))
+    # the JVM prints the batch head to its own stdout; check what ran
+    assert q.lastProgress["numInputRows"] == 60
+    assert "Console" in q.lastProgress["sink"]["description"]

@@ -142,16 +142,17 @@ def ingest_metrics(query: StreamingQuery, name: str = METRICS_NAME, first_batch:
     return out
 
 
-def start_preview(envelope: DataFrame, rows: int = 10, engine: str = "python") -> StreamingQuery:
+def start_preview(envelope: DataFrame, rows: int = 10, engine: str = "python", every: str = "120 seconds",
+                  once: bool = False) -> StreamingQuery:
     """Print the first ``rows`` decoded events of each micro-batch (console
     sink). A separate query with its own decode; for debugging only."""
     from tidewater.functions.codec import decode_events
 
-    return (
+    w = (
         decode_events(envelope, engine=engine)
         .writeStream.format("console")
         .option("numRows", str(rows))
         .option("truncate", "false")
-        .trigger(processingTime="120 seconds")
-        .start()
     )
+    w = w.trigger(availableNow=True) if once else w.trigger(processingTime=every)
+    return w.start()
