@@ -102,3 +102,27 @@ def test_preview_prints_rows(spark, capsys):
     preview(people(spark), n=2)
     out = capsys.readouterr().out
     assert "Alice" in out and "only showing top 2 rows" in out
+
+
+def test_empty_append_writes_only_success_marker(spark, scratch):
+    root = scratch("empty")
+    append_events(_events(spark, []), root)
+    names = os.listdir(local_path(root))
+    assert "_SUCCESS" in names and not [n for n in names if n.startswith("event_date=")]
+    assert read_landed(spark, root).count() == 0
+
+
+def test_csv_quoting_and_escape(spark, scratch):
+    df = spark.createDataFrame([('a,"b', 1)], "s string, n int")
+    path = scratch("quote") + "/q.csv"
+    overwrite_csv(df.coalesce(1), path)
+    text = "".join(open(p).read() for p in glob.glob(local_path(path) + "/part-*.csv"))
+    assert text.strip() == '"a,\\"b",1'
+    assert spark.read.schema("s string, n int").csv(path).first().s == 'a,"b'
+
+
+def test_leaf_scan_with_base_path_keeps_date(spark, scratch):
+    root = scratch("base")
+    append_events(with_event_hour(event_fixture(spark, SF001)), root)
+    kept = read_partition_dir(spark, root, "20240102", keep_date=True)
+    assert {r.event_date for r in kept.select("event_date").distinct().collect()} == {"20240102"}

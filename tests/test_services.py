@@ -113,3 +113,17 @@ def test_catalog_and_saved_view(spark):
     v = save_view(spark, unique_name("v"), "SELECT r_name, count(*) AS n FROM region JOIN nation "
                                           "ON n_regionkey = r_regionkey GROUP BY r_name")
     assert v.agg(F.sum("n")).first()[0] == 25
+
+
+def test_drop_expired_partitions_and_analyze(spark, scratch):
+    from tidewater.operators.catalog import analyze_columns, drop_expired_partitions
+
+    root = _landed(spark, scratch, "drop")
+    t = unique_name("landed")
+    register_landed(spark, t, root)
+    sync_partitions(spark, t)
+    dropped = drop_expired_partitions(spark, t, 7)
+    assert dropped == [f"202401{d:02d}" for d in range(1, 24)]
+    assert spark.table(t).count() == retain(read_landed(spark, root), "event_date", 7).count()
+    stats = {r.column_name: r for r in analyze_columns(spark, t).collect()}
+    assert int(stats["event_type"].num_nulls) == 0 and int(stats["event_type"].distinct_count) == 5

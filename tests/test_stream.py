@@ -134,3 +134,30 @@ def test_stream_head_print(spark, scratch):
     # the JVM prints the batch head to its own stdout; check what ran
     assert q.lastProgress["numInputRows"] == 60
     assert "Console" in q.lastProgress["sink"]["description"]
+
+
+def test_processing_time_trigger_runs_until_stopped(spark, scratch):
+    base = scratch("trigger")
+    write_replay(envelope_fixture(spark, SF001).where(F.col("offset") < 30), f"{base}/topic")
+    env = event_envelope(spark, "replay", path=f"{base}/topic", starting="earliest")
+    q = start_ingest(env, f"{base}/out", f"{base}/ck", every="1 second")
+    try:
+        q.processAllAvailable()
+        assert q.isActive
+    finally:
+        q.stop()
+    assert read_landed(spark, f"{base}/out").count() == 90
+
+
+def test_stream_failure_is_raised(spark, scratch):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    base = scratch("fail")
+    # a replay file whose partition column has the wrong type
+    spark.range(3).selectExpr("'k' AS key", "CAST('x' AS BINARY) AS value", "'ecommerce_tst' AS topic",
+                              "'zero' AS partition", "id AS offset", "current_timestamp() AS timestamp") \
+        .write.parquet(f"{base}/topic")
+    env = event_envelope(spark, "replay", path=f"{base}/topic", starting="earliest")
+    with pytest.raises(StreamingQueryException):
+        run_ingest(start_ingest(env, f"{base}/out", f"{base}/ck", once=True))

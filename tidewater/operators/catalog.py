@@ -46,3 +46,43 @@ def partition_inventory(df: DataFrame, keys=PARTITION_KEYS, time_col: str = "eve
         F.min(time_col).alias("min_time"),
         F.max(time_col).alias("max_time"),
     )
+
+
+def analyze_columns(spark: SparkSession, table: str) -> DataFrame:
+    """Spark's built-in table and column statistics (used by the cost-based
+    optimizer); returns the per-column statistics Spark keeps."""
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+    cols = [f.name for f in spark.table(table).schema.fields]
+    rows = []
+    for c in cols:
+        d = {r.info_name: r.info_value for r in spark.sql(f"DESCRIBE EXTENDED {table} `{c}`").collect()}
+        rows.append((c, d.get("min"), d.get("max"), d.get("num_nulls"), d.get("distinct_count"),
+                     d.get("avg_col_len"), d.get("max_col_len")))
+    return spark.createDataFrame(
+        rows, "column_name string, min string, max string, num_nulls string, distinct_count string, "
+              "avg_col_len string, max_col_len string")
+
+
+def drop_expired_partitions(spark: SparkSession, table: str, days: int, key: str = "event_date",
+                            fmt: str = "yyyyMMdd", per_statement: int = 500) -> list[str]:
+    """Retention on a catalog table: drop the partitions whose date is more
+    than ``days`` before the newest one; returns the dropped dates.
+
+    Works on partition metadata only (``SHOW PARTITIONS``: one row per
+    partition), never on the data. Each partition is dropped by its full
+    spec (datasource tables take no partial specs), a few hundred per
+    statement. For an external table the files stay on storage; readers of
+    the table stop seeing them.
+    """
+    parts = spark.sql(f"SHOW PARTITIONS {table}").select(
+        "partition", F.regexp_extract("partition", f"(^|/){key}=([^/]*)", 2).alias("v"))
+    d = F.try_to_timestamp(F.col("v"), F.lit(fmt)).cast("date")
+    newest = parts.select(F.max(d)).scalar()
+    expired = parts.where(d <= F.date_sub(newest, days)).collect()
+    specs = []
+    for row in expired:
+        kv = [item.split("=", 1) for item in row.partition.split("/")]
+        specs.append("PARTITION (" + ", ".join(f"`{k}` = '{v}'" for k, v in kv) + ")")
+    for i in range(0, len(specs), per_statement):
+        spark.sql(f"ALTER TABLE {table} DROP {', '.join(specs[i:i + per_statement])}")
+    return sorted({row.v for row in expired})

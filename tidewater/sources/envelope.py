@@ -107,6 +107,7 @@ def event_envelope(
     latest_first: bool = False,
     max_offsets_per_trigger: int | None = None,
     min_partitions: int | None = None,
+    group_id: str | None = None,
 ) -> DataFrame:
     """Streaming DataFrame of envelope records from Kafka or replay files.
 
@@ -126,6 +127,10 @@ def event_envelope(
             r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
         if min_partitions:
             r = r.option("minPartitions", str(min_partitions))
+        if group_id:
+            # positions live in the query checkpoint; the group id only names
+            # the consumer for broker-side quotas and ACLs
+            r = r.option("kafka.group.id", group_id)
         raw = r.load()
         return raw.select(F.col("key").cast("string").alias("key"), *ENVELOPE_COLUMNS[1:])
     if kind != "replay":

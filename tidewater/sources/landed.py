@@ -26,9 +26,14 @@ def read_landed(
 
 
 def read_partition_dir(
-    spark: SparkSession, root: str, date: str, schema: T.StructType = LANDED_SCHEMA
+    spark: SparkSession, root: str, date: str, schema: T.StructType = LANDED_SCHEMA, keep_date: bool = False
 ) -> DataFrame:
     """Scan of one ``event_date=<date>`` leaf directory, as the batch copy job
-    does: ``event_date`` is not part of the result, ``event_hour`` is."""
-    leaf = T.StructType([f for f in schema.fields if f.name != "event_date"])
-    return spark.read.schema(leaf).parquet(f"{root.rstrip('/')}/event_date={date}")
+    does: ``event_date`` is not part of the result, ``event_hour`` is.
+    ``keep_date=True`` reads it relative to the root (``basePath``) so the
+    date column is kept."""
+    leaf = f"{root.rstrip('/')}/event_date={date}"
+    if keep_date:
+        return spark.read.schema(schema).option("basePath", root).parquet(leaf)
+    no_date = T.StructType([f for f in schema.fields if f.name != "event_date"])
+    return spark.read.schema(no_date).parquet(leaf)
