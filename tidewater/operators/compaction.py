@@ -37,7 +37,7 @@ def compact(
     src_root: str,
     dst_root: str,
     keys=PARTITION_KEYS,
-    target_mb: int = 128,
+    target_mb: float = 128,
     schema: T.StructType = LANDED_SCHEMA,
 ) -> DataFrame:
     """Rewrite ``src_root`` into ``dst_root`` with at most
@@ -48,7 +48,7 @@ def compact(
     tasks instead of one, and each task writes one file per partition.
     """
     src = spark.read.schema(schema).parquet(src_root)
-    target = int(target_mb) * 1024 * 1024
+    target = int(target_mb * 1024 * 1024)
     # One row per partition, used twice (size check, join): cached, and
     # recomputed from its lineage if an executor holding it is lost.
     sizes = partition_sizes(src, keys).withColumn(
