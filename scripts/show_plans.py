@@ -27,8 +27,6 @@ def plan(df) -> str:
 
 
 def main(argv):
-    from pyspark.sql import functions as F
-
     from tidewater.functions.codec import decode_events
     from tidewater.functions.timefn import with_event_hour
     from tidewater.operators.basic import take_rows, where_equals
@@ -75,7 +73,6 @@ def main(argv):
           "generated by `scripts/show_plans.py`). Expression ids and paths removed.\n")
     for title, df in items:
         print(f"## {title}\n\n```\n{plan(df)}\n```\n")
-    _ = F
     spark.stop()
 
 

@@ -1,0 +1,47 @@
+"""tidewater: e-commerce event ingest and table services on PySpark.
+
+The main entry points, by job:
+
+* streaming ingest: ``event_envelope`` -> ``start_ingest`` / ``run_ingest``,
+  ``ingest_metrics``, ``start_preview``
+* codec: ``encode_events``, ``decode_events``, ``decode_rejects``
+* landed table: ``append_events``, ``read_landed``, ``read_partition_dir``,
+  ``with_event_hour``
+* batch jobs: ``where_equals``, ``take_rows``, ``overwrite_csv``,
+  ``overwrite_parquet``, ``preview``, ``inline_rows``
+* table services: ``register_landed``, ``sync_partitions``,
+  ``partition_inventory``, ``column_stats``, ``compact``, ``retain``,
+  ``apply_retention``, ``drop_expired_partitions``, ``duplicate_keys``,
+  ``orphans``, ``write_bucketed``, ``skewed_values``, ``map_json``,
+  ``register_catalog``, ``save_view``
+"""
+
+from tidewater.functions.codec import decode_events, decode_rejects, encode_events
+from tidewater.functions.schema import EVENT_SCHEMA, LANDED_SCHEMA, TOPIC
+from tidewater.functions.timefn import with_event_hour
+from tidewater.operators.basic import take_rows, where_equals
+from tidewater.operators.bucketing import skewed_values, write_bucketed
+from tidewater.operators.catalog import (
+    analyze_columns, drop_expired_partitions, partition_inventory, register_landed, sync_partitions,
+)
+from tidewater.operators.compaction import apply_retention, compact, retain
+from tidewater.operators.jsonmap import map_json
+from tidewater.operators.keys import duplicate_keys, orphans
+from tidewater.operators.sinks import append_events, overwrite_csv, overwrite_parquet, preview
+from tidewater.operators.stats import column_stats
+from tidewater.session import build_session, workspace
+from tidewater.sources.envelope import event_envelope, write_replay
+from tidewater.sources.inline import inline_rows
+from tidewater.sources.landed import read_landed, read_partition_dir
+from tidewater.sources.tables import register_catalog, save_view
+from tidewater.streaming.ingest import ingest_metrics, run_ingest, start_ingest, start_preview
+
+__all__ = [
+    "EVENT_SCHEMA", "LANDED_SCHEMA", "TOPIC", "analyze_columns", "append_events", "apply_retention",
+    "build_session", "column_stats", "compact", "decode_events", "decode_rejects", "drop_expired_partitions",
+    "duplicate_keys", "encode_events", "event_envelope", "ingest_metrics", "inline_rows", "map_json",
+    "orphans", "overwrite_csv", "overwrite_parquet", "partition_inventory", "preview", "read_landed",
+    "read_partition_dir", "register_catalog", "register_landed", "retain", "run_ingest", "save_view",
+    "skewed_values", "start_ingest", "start_preview", "sync_partitions", "take_rows", "where_equals",
+    "with_event_hour", "workspace", "write_bucketed", "write_replay",
+]

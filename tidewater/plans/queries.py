@@ -15,9 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions.codec import REASON_UNDECODABLE, decode_events, decode_rejects
-from tidewater.functions.schema import (
-    EVENT_COLUMNS, EVENT_FIELDS, PARTITION_KEYS, TOPIC, WITH_EVENT_ID, landed_schema,
-)
+from tidewater.functions.schema import EVENT_FIELDS, PARTITION_KEYS, TOPIC, WITH_EVENT_ID, landed_schema
 from tidewater.functions.timefn import with_event_hour
 from tidewater.operators.basic import take_rows, where_equals
 from tidewater.operators.bucketing import skewed_values, write_bucketed
@@ -453,6 +451,3 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> adapter -> hour -> partitioned append -> pruned scan of one
     date -> first 100 rows by event id."""
     return limit_100(spark, sf_dir)
-
-
-__all__ = ["registered", "oracles", "flagship", "EVENT_COLUMNS", "read_replay"]
