@@ -127,3 +127,15 @@ def test_drop_expired_partitions_and_analyze(spark, scratch):
     assert spark.table(t).count() == retain(read_landed(spark, root), "event_date", 7).count()
     stats = {r.column_name: r for r in analyze_columns(spark, t).collect()}
     assert int(stats["event_type"].num_nulls) == 0 and int(stats["event_type"].distinct_count) == 5
+
+
+def test_sync_modes(spark, scratch):
+    root = _landed(spark, scratch, "modes")
+    t = unique_name("landed")
+    register_landed(spark, t, root)
+    sync_partitions(spark, t, mode="sync")
+    n = show_partitions(spark, t).count()
+    sync_partitions(spark, t, mode="drop")  # every directory still exists: nothing dropped
+    sync_partitions(spark, t, mode="add")  # nothing new: nothing added
+    assert show_partitions(spark, t).count() == n
+    assert spark.table(t).count() == 1000

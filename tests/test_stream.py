@@ -161,3 +161,14 @@ def test_stream_failure_is_raised(spark, scratch):
     env = event_envelope(spark, "replay", path=f"{base}/topic", starting="earliest")
     with pytest.raises(StreamingQueryException):
         run_ingest(start_ingest(env, f"{base}/out", f"{base}/ck", once=True))
+
+
+def test_kafka_kind_needs_the_connector(spark):
+    import pytest
+
+    try:
+        event_envelope(spark, "kafka", brokers="localhost:1", topic="ecommerce_tst", starting="latest")
+    except Exception as e:  # connector jar absent in this image
+        assert "kafka" in str(e).lower()
+    else:
+        pytest.skip("spark-sql-kafka connector present; the source resolved")

@@ -25,9 +25,12 @@ def register_landed(
     )
 
 
-def sync_partitions(spark: SparkSession, table: str) -> None:
-    """Add every partition directory found under the table's location."""
-    spark.sql(f"MSCK REPAIR TABLE {table}")
+def sync_partitions(spark: SparkSession, table: str, mode: str = "add") -> None:
+    """Sync the catalog with the partition directories under the table's
+    location: ``add`` new ones (default), ``drop`` ones whose directory is
+    gone, or ``sync`` both."""
+    clause = {"add": "ADD", "drop": "DROP", "sync": "SYNC"}[mode]
+    spark.sql(f"MSCK REPAIR TABLE {table} {clause} PARTITIONS")
 
 
 def show_partitions(spark: SparkSession, table: str) -> DataFrame:
