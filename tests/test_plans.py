@@ -56,3 +56,10 @@ def test_bucketed_join_has_no_exchange(spark, scratch):
 def test_fixture_join_is_a_left_join_on_part(spark):
     plan = plan_text(event_fixture(spark, SF001), "simple")
     assert "LeftOuter" in plan
+
+
+def test_shuffle_sizing_for_scale():
+    from tidewater.session import shuffle_partitions_for
+
+    assert shuffle_partitions_for(100 * 1024 ** 4) == 819200  # 100 TB -> 128 MB reducers
+    assert shuffle_partitions_for(1) == 200

@@ -40,9 +40,15 @@ def build_session(
     metastore_uri: str | None = None,
     shuffle_partitions: int | None = None,
     conf: dict | None = None,
+    largest_shuffle_bytes: int | None = None,
 ) -> SparkSession:
     """Session with UTC time, ANSI left on, AQE and the scale settings.
 
+    ``largest_shuffle_bytes`` sizes ``spark.sql.shuffle.partitions`` so the
+    largest shuffle (e.g. a full landing of the day's data) gets ~128 MB per
+    reducer; AQE coalesces the partitions of smaller stages. Spark's default
+    of 200 would give 500 GB reducers for a 100 TB shuffle.
+
     ``hive=True`` is the Hive-enabled session of the batch copy job; it talks
     to the cluster's metastore (``metastore_uri`` or hive-site.xml).
     """
@@ -53,6 +59,8 @@ def build_session(
     b = b.config("spark.ui.showConsoleProgress", "false")
     for k, v in SCALE_CONF.items():
         b = b.config(k, v)
+    if shuffle_partitions is None and largest_shuffle_bytes:
+        shuffle_partitions = shuffle_partitions_for(largest_shuffle_bytes)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (conf or {}).items():
@@ -67,6 +75,11 @@ def build_session(
     return b.getOrCreate()
 
 
+def shuffle_partitions_for(shuffle_bytes: int, per_partition: int = 128 * 1024 * 1024) -> int:
+    """Reducer count that keeps each shuffle partition near ``per_partition``."""
+    return max(200, -(-int(shuffle_bytes) // per_partition))
+
+
 def pin_utc(spark: SparkSession) -> None:
     """Time-dependent queries read and print times in UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
