@@ -14,6 +14,8 @@ keeps its last value; a null payload is rejected (and counted).
 
 from __future__ import annotations
 
+import operator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -83,34 +85,37 @@ DECODED_TYPE = T.StructType(
 )
 
 
+_DEFAULT_ROW = tuple(_DEFAULTS[kind] for _, _, kind, _ in EVENT_FIELDS)
+
+
 def _decode_batch(values: pd.Series) -> pd.DataFrame:
     from google.protobuf.message import DecodeError
 
-    cls = message_class()
-    n = len(values)
-    cols = {name: [_DEFAULTS[kind]] * n for name, _, kind, _ in EVENT_FIELDS}
-    ok = np.ones(n, dtype=bool)
-    reason = [None] * n
-    msg = cls()
-    names = EVENT_COLUMNS
-    getters = [(cols[name], name) for name in names]
-    for i, payload in enumerate(values):
+    msg = message_class()()
+    parse = msg.ParseFromString  # clears the message, then merges the bytes
+    fields = operator.attrgetter(*EVENT_COLUMNS)  # all 10 fields in one call
+    rows, ok, reason = [], [], []
+    for payload in values:
         if payload is None:
-            ok[i] = False
-            reason[i] = REASON_NULL
+            rows.append(_DEFAULT_ROW)
+            ok.append(False)
+            reason.append(REASON_NULL)
             continue
         try:
-            msg.ParseFromString(payload)
+            parse(payload)
         except DecodeError:
-            ok[i] = False
-            reason[i] = REASON_UNDECODABLE
+            rows.append(_DEFAULT_ROW)
+            ok.append(False)
+            reason.append(REASON_UNDECODABLE)
             continue
-        for out, name in getters:
-            out[i] = getattr(msg, name)
+        rows.append(fields(msg))
+        ok.append(True)
+        reason.append(None)
+    cols = list(zip(*rows)) if rows else [() for _ in EVENT_COLUMNS]
     frame = {}
-    for name, _, kind, _ in EVENT_FIELDS:
-        frame[name] = np.asarray(cols[name], dtype=_NUMPY[kind]) if kind in _NUMPY else cols[name]
-    frame["_ok"] = ok
+    for (name, _, kind, _), col in zip(EVENT_FIELDS, cols):
+        frame[name] = np.asarray(col, dtype=_NUMPY[kind]) if kind in _NUMPY else list(col)
+    frame["_ok"] = np.asarray(ok, dtype=bool)
     frame["_reason"] = reason
     return pd.DataFrame(frame)
 
@@ -120,12 +125,20 @@ def _decode_batch(values: pd.Series) -> pd.DataFrame:
 decode_payload = F.pandas_udf(_decode_batch, DECODED_TYPE).asNondeterministic()
 
 
+def _fill(msg, row) -> None:
+    """Set the 10 fields from a row in declared order (the message contract)."""
+    (msg.event_date, msg.event_time, msg.event_type, msg.product_id, msg.category_id,
+     msg.category_code, msg.brand, msg.price, msg.user_id, msg.user_session) = row
+
+
 def _encode_batch(events: pd.DataFrame) -> pd.Series:
-    cls = message_class()
-    cols = [events[name].tolist() for name in EVENT_COLUMNS]
+    msg = message_class()()
+    serialize = msg.SerializeToString
     out = []
-    for row in zip(*cols):
-        out.append(cls(**dict(zip(EVENT_COLUMNS, row))).SerializeToString())
+    for row in zip(*[events[name].tolist() for name in EVENT_COLUMNS]):
+        msg.Clear()
+        _fill(msg, row)
+        out.append(serialize())
     return pd.Series(out, dtype=object)
 
 
