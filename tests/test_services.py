@@ -139,3 +139,16 @@ def test_sync_modes(spark, scratch):
     sync_partitions(spark, t, mode="add")  # nothing new: nothing added
     assert show_partitions(spark, t).count() == n
     assert spark.table(t).count() == 1000
+
+
+def test_apply_retention_publishes_to_a_new_root(spark, scratch):
+    from tidewater.operators.compaction import apply_retention
+
+    root = _landed(spark, scratch, "ret-src")
+    dst = scratch("ret-dst")
+    apply_retention(spark, root, dst, days=3)
+    dates = sorted(r.event_date for r in read_landed(spark, dst).select("event_date").distinct().collect())
+    assert dates == ["20240128", "20240129", "20240130"]
+    assert read_landed(spark, root).count() == 1000  # the source is untouched
+    assert read_landed(spark, dst).count() == read_landed(spark, root).where(
+        F.col("event_date") >= "20240128").count()
