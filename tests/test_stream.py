@@ -154,9 +154,9 @@ def test_stream_failure_is_raised(spark, scratch):
     from pyspark.errors import StreamingQueryException
 
     base = scratch("fail")
-    # a replay file whose partition column has the wrong type
-    spark.range(3).selectExpr("'k' AS key", "CAST('x' AS BINARY) AS value", "'ecommerce_tst' AS topic",
-                              "'zero' AS partition", "id AS offset", "current_timestamp() AS timestamp") \
+    # a replay file whose payload column has the wrong type (the stream must read it)
+    spark.range(3).selectExpr("'k' AS key", "CAST(id AS INT) AS value", "'ecommerce_tst' AS topic",
+                              "0 AS partition", "id AS offset", "current_timestamp() AS timestamp") \
         .write.parquet(f"{base}/topic")
     env = event_envelope(spark, "replay", path=f"{base}/topic", starting="earliest")
     with pytest.raises(StreamingQueryException):
