@@ -117,3 +117,14 @@ def test_jvm_decode_needs_jar(spark, kind):
     except Exception:
         pytest.skip("spark-protobuf jar not on the classpath")
     assert got[0]["event_type"] == "view"
+
+
+def test_auto_engine_falls_back_to_python(spark):
+    from tidewater.functions.codec import jvm_decode_available
+
+    rows = [("20240101", "t", "view", 1, 2, "c", "b", 1.5, 3, "s")]
+    env = encode_events(spark.createDataFrame(rows, EVENT_SCHEMA))
+    got = decode_events(env, engine="auto").collect()
+    assert got[0]["event_type"] == "view"
+    plan = plan_text(decode_events(env, engine="auto"), "simple")
+    assert ("ArrowEvalPython" in plan) == (not jvm_decode_available(spark))

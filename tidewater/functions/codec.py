@@ -193,8 +193,30 @@ def _decode_jvm(value: Column) -> Column:
     )
 
 
+_JVM_OK: dict[str, bool] = {}
+
+
+def jvm_decode_available(spark) -> bool:
+    """Whether ``from_protobuf`` resolves in this session (spark-protobuf jar
+    on the classpath); probed once per application."""
+    app = spark.conf.get("spark.app.id", "") or "default"
+    if app not in _JVM_OK:
+        try:
+            spark.range(1).select(_decode_jvm(F.lit(b"").cast("binary")).alias("e")).schema
+            _JVM_OK[app] = True
+        except Exception:
+            _JVM_OK[app] = False
+    return _JVM_OK[app]
+
+
 def decode_status(envelope: DataFrame, engine: str = "python") -> DataFrame:
-    """Envelope plus a ``_e`` struct: the 10 fields, ``_ok`` and ``_reason``."""
+    """Envelope plus a ``_e`` struct: the 10 fields, ``_ok`` and ``_reason``.
+
+    ``engine``: ``python`` (pandas UDF), ``jvm`` (``from_protobuf``, needs the
+    spark-protobuf jar) or ``auto`` (``jvm`` where it resolves, else python).
+    """
+    if engine == "auto":
+        engine = "jvm" if jvm_decode_available(envelope.sparkSession) else "python"
     col = _decode_jvm(F.col("value")) if engine == "jvm" else decode_payload(F.col("value"))
     return envelope.withColumn("_e", col)
 

@@ -88,7 +88,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--every", default="120 seconds")
     s.add_argument("--once", action="store_true")
-    s.add_argument("--engine", choices=("python", "jvm"), default="python")
+    s.add_argument("--engine", choices=("auto", "python", "jvm"), default="auto")
     s.add_argument("--min-partitions", type=int)
     s.add_argument("--max-files-per-trigger", type=int)
     s.set_defaults(run=ingest)
@@ -103,7 +103,7 @@ def parser() -> argparse.ArgumentParser:
 
     s = sub.add_parser("copy-partition", help="first rows of one date, written as Parquet")
     s.add_argument("--root", required=True, help="landed table root")
-    s.add_argument("--date", required=True, help="event_date value, e.g. 20191001")
+    s.add_argument("--date", required=True, help="event_date value, e.g. 20240101")
     s.add_argument("--limit", type=int, default=100)
     s.add_argument("--order-by", help="column for a deterministic selection")
     s.add_argument("--out", required=True)
