@@ -19,7 +19,9 @@ from tidewater.functions.schema import EVENT_FIELDS, PARTITION_KEYS, TOPIC, WITH
 from tidewater.functions.timefn import with_event_hour
 from tidewater.operators.basic import take_rows, where_equals
 from tidewater.operators.bucketing import skewed_values, write_bucketed
-from tidewater.operators.catalog import partition_inventory, register_landed, sync_partitions
+from tidewater.operators.catalog import (
+    drop_expired_partitions, partition_inventory, register_landed, sync_partitions,
+)
 from tidewater.operators.compaction import compact, retain
 from tidewater.operators.jsonmap import map_json
 from tidewater.operators.keys import duplicate_keys, orphans
@@ -358,6 +360,20 @@ def retention_q(spark, sf_dir):
     return read_landed(spark, dst, schema=LANDED_WITH_ID)
 
 
+@query("retention_catalog", Q.with_fixture(f"""
+SELECT {Q.LANDED_COLS} FROM fx
+WHERE CAST(ts AS DATE) > (SELECT max(CAST(ts AS DATE)) FROM events) - INTERVAL {RETAIN_DAYS} DAY"""))
+def retention_catalog(spark, sf_dir):
+    """Retention on a catalog table: expired partitions are dropped from the
+    table's metadata; the table then shows the newest dates only."""
+    root = _landed_table(spark, sf_dir)  # external table: dropping keeps the files
+    table = unique_name("landed_events")
+    register_landed(spark, table, root, schema=LANDED_WITH_ID)
+    sync_partitions(spark, table)
+    drop_expired_partitions(spark, table, RETAIN_DAYS)
+    return spark.table(table)
+
+
 @query("pk_check", """
 SELECT l_orderkey, l_linenumber, count(*) AS n_rows,
        CASE WHEN l_orderkey IS NULL OR l_linenumber IS NULL THEN 'null_key' ELSE 'duplicate' END AS problem
