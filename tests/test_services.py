@@ -152,3 +152,19 @@ def test_apply_retention_publishes_to_a_new_root(spark, scratch):
     assert read_landed(spark, root).count() == 1000  # the source is untouched
     assert read_landed(spark, dst).count() == read_landed(spark, root).where(
         F.col("event_date") >= "20240128").count()
+
+
+def test_compaction_keeps_null_partition_rows(spark, scratch):
+    from tidewater.functions.schema import EVENT_SCHEMA
+
+    rows = [("20240101", "bad time", "view", 1, 2, "c", "b", 1.5, 3, "s"),
+            ("20240101", "2024-01-01 05:00:00 UTC", "view", 1, 2, "c", "b", 1.5, 3, "s"),
+            ("", "2024-01-01 06:00:00 UTC", "view", 1, 2, "c", "b", 1.5, 3, "s")]
+    src, dst = scratch("null-src"), scratch("null-dst")
+    df = with_event_hour(spark.createDataFrame(rows, EVENT_SCHEMA))
+    df.repartition(3).write.partitionBy("event_date", "event_hour").parquet(src)
+    df.write.mode("append").partitionBy("event_date", "event_hour").parquet(src)
+    compact(spark, src, dst)
+    got = sorted((r.event_date or "", -1 if r.event_hour is None else r.event_hour)
+                 for r in read_landed(spark, dst).collect())
+    assert got == [("", 6), ("", 6), ("20240101", -1), ("20240101", -1), ("20240101", 5), ("20240101", 5)]
