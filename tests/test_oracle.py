@@ -42,3 +42,12 @@ def test_query_matches_oracle(spark, duck, name):
     res = duck.sql(oracle_sql()[name])
     assert sorted(df.columns) == sorted(res.columns)
     assert rows_of(df.columns, got) == rows_of(res.columns, res.fetchall())
+
+
+def test_queries_pin_utc_whatever_the_caller_zone(spark, duck):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    df = queries()["batch_metrics"](spark, SF001)
+    got = [tuple(r) for r in df.collect()]
+    res = duck.sql(oracle_sql()["batch_metrics"])
+    assert rows_of(df.columns, got) == rows_of(res.columns, res.fetchall())
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"

@@ -7,6 +7,7 @@ scratch root, then return a lazy read of what was written.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -57,8 +58,15 @@ _ORACLE: dict[str, str] = {}
 
 
 def query(name: str, oracle: str | None):
+    """Register ``fn(spark, sf_dir)``; every registered query runs with the
+    session time zone pinned to UTC, whatever the caller's session says."""
     def deco(fn):
-        _QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            pin_utc(spark)
+            return fn(spark, sf_dir)
+
+        _QUERIES[name] = run
         if oracle is not None:
             _ORACLE[name] = oracle
         return fn
@@ -466,4 +474,4 @@ def sql_s5(spark, sf_dir):
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> adapter -> hour -> partitioned append -> pruned scan of one
     date -> first 100 rows by event id."""
-    return limit_100(spark, sf_dir)
+    return _QUERIES["limit_100"](spark, sf_dir)
