@@ -168,3 +168,26 @@ def test_compaction_keeps_null_partition_rows(spark, scratch):
     got = sorted((r.event_date or "", -1 if r.event_hour is None else r.event_hour)
                  for r in read_landed(spark, dst).collect())
     assert got == [("", 6), ("", 6), ("20240101", -1), ("20240101", -1), ("20240101", 5), ("20240101", 5)]
+
+
+def test_incremental_compaction_of_a_catalog_table(spark, scratch):
+    from tidewater.operators.compaction import compact_table
+
+    base = scratch("inc")
+    rows = with_event_hour(event_fixture(spark, SF001))
+    early = F.col("event_date") <= "20240110"
+    # early dates: four files per partition; later dates: one file each
+    rows.where(early).repartition(4).write.partitionBy("event_date", "event_hour").parquet(f"{base}/src")
+    rows.where(~early).hint("rebalance", "event_date", "event_hour").write.mode("append") \
+        .partitionBy("event_date", "event_hour").parquet(f"{base}/src")
+    t = unique_name("landed")
+    register_landed(spark, t, f"{base}/src")
+    sync_partitions(spark, t)
+    files_before = len(spark.table(t).inputFiles())
+    picked = compact_table(spark, t, f"{base}/staging", target_mb=1)
+    assert picked and all(d <= "20240110" for d, _ in picked)
+    assert spark.table(t).count() == 1000
+    assert len(spark.table(t).inputFiles()) < files_before
+    assert not [f for f in spark.table(t).inputFiles() if "staging" in f and "event_date=2024011" in f
+                and "event_date=20240110" not in f]
+    assert compact_table(spark, t, f"{base}/staging2", target_mb=1) == []  # nothing left to do

@@ -32,28 +32,15 @@ def partition_sizes(src: DataFrame, keys=PARTITION_KEYS) -> DataFrame:
     return files.groupBy(*keys).agg(F.sum("_size").alias("bytes"), F.count(F.lit(1)).alias("files"))
 
 
-def compact(
-    spark: SparkSession,
-    src_root: str,
-    dst_root: str,
-    keys=PARTITION_KEYS,
-    target_mb: float = 128,
-    schema: T.StructType = LANDED_SCHEMA,
-) -> DataFrame:
-    """Rewrite ``src_root`` into ``dst_root`` with at most
-    ``ceil(bytes / target)`` files per partition. Returns the size table.
+def _salted_rewrite(src: DataFrame, sizes: DataFrame, keys, dst_root: str) -> None:
+    """Rewrite the rows of the partitions listed in ``sizes`` (keys + ``_n``)
+    into ``dst_root`` with at most ``_n`` files per partition.
 
-    Rows of one partition are spread over ``n`` salts (``n`` from the size
-    table), and the shuffle is on (keys, salt): one hot hour goes to ``n``
-    tasks instead of one, and each task writes one file per partition.
+    Rows of one partition are spread over ``_n`` salts and the shuffle is on
+    (keys, salt): one hot hour goes to ``_n`` tasks instead of one, and each
+    task writes one file per partition. The size table (one row per
+    partition) is broadcast only after a row-count check.
     """
-    src = spark.read.schema(schema).parquet(src_root)
-    target = int(target_mb * 1024 * 1024)
-    # One row per partition, used twice (size check, join): cached, and
-    # recomputed from its lineage if an executor holding it is lost.
-    sizes = partition_sizes(src, keys).withColumn(
-        "_n", F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("bytes") / F.lit(target)).cast("bigint"))
-    ).cache()
     small_enough = sizes.count() <= BROADCAST_MAX_PARTITIONS
     plan = sizes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_n")
     plan = F.broadcast(plan) if small_enough else plan
@@ -70,10 +57,72 @@ def compact(
         .partitionBy(*keys)
         .parquet(dst_root)
     )
+
+
+def _with_file_bound(sizes: DataFrame, target_mb: float) -> DataFrame:
+    target = int(target_mb * 1024 * 1024)
+    return sizes.withColumn(
+        "_n", F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("bytes") / F.lit(target)).cast("bigint"))
+    )
+
+
+def compact(
+    spark: SparkSession,
+    src_root: str,
+    dst_root: str,
+    keys=PARTITION_KEYS,
+    target_mb: float = 128,
+    schema: T.StructType = LANDED_SCHEMA,
+) -> DataFrame:
+    """Rewrite ``src_root`` into ``dst_root`` with at most
+    ``ceil(bytes / target)`` files per partition. Returns the size table."""
+    src = spark.read.schema(schema).parquet(src_root)
+    # One row per partition, used twice (size check, join): cached, and
+    # recomputed from its lineage if an executor holding it is lost.
+    sizes = _with_file_bound(partition_sizes(src, keys), target_mb).cache()
+    _salted_rewrite(src, sizes, keys, dst_root)
     sizes.unpersist()
     return sizes
 
 
+def compact_table(
+    spark: SparkSession,
+    table: str,
+    staging_root: str,
+    keys=PARTITION_KEYS,
+    target_mb: float = 128,
+) -> list[tuple]:
+    """Incremental compaction of a partitioned catalog table.
+
+    Only partitions holding more files than ``ceil(bytes / target)`` are
+    rewritten (into ``staging_root``); each is then pointed at its new
+    directory with ``ALTER TABLE … PARTITION … SET LOCATION`` — a metadata
+    swap, so readers of the table switch partition by partition and already
+    compact partitions are never rewritten. Old files stay where they were
+    for a later cleanup. Partitions with a null key are left as they are.
+    Returns the rewritten partition keys.
+    """
+    src = spark.table(table)
+    sizes = _with_file_bound(partition_sizes(src, keys), target_mb)
+    not_null = [F.col(k).isNotNull() for k in keys]
+    cands = sizes.where(F.col("files") > F.col("_n"))
+    for c in not_null:
+        cands = cands.where(c)
+    cands = cands.cache()
+    # partition keys only: bounded by the partition count, not the data
+    picked = [tuple(r[k] for k in keys) for r in cands.select(*keys).collect()]
+    if picked:
+        _salted_rewrite(src, cands, keys, staging_root)
+        root = staging_root.rstrip("/")
+        for values in picked:
+            spec = ", ".join(f"`{k}` = '{v}'" for k, v in zip(keys, values))
+            where = "/".join(f"{k}={v}" for k, v in zip(keys, values))
+            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{root}/{where}'")
+        spark.sql(f"REFRESH TABLE {table}")
+    cands.unpersist()
+    return picked
+
+
 def retain(df: DataFrame, column: str = "event_date", days: int = 7, fmt: str = "yyyyMMdd") -> DataFrame:
     """Keep rows whose date is within ``days`` of the newest date
     (the newest ``days`` dates). The newest date is a scalar subquery; on a
