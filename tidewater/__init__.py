@@ -24,7 +24,7 @@ from tidewater.operators.bucketing import skewed_values, write_bucketed
 from tidewater.operators.catalog import (
     analyze_columns, drop_expired_partitions, partition_inventory, register_landed, sync_partitions,
 )
-from tidewater.operators.compaction import apply_retention, compact, retain
+from tidewater.operators.compaction import apply_retention, compact, compact_table, retain
 from tidewater.operators.jsonmap import map_json
 from tidewater.operators.keys import duplicate_keys, orphans
 from tidewater.operators.sinks import append_events, overwrite_csv, overwrite_parquet, preview
@@ -38,7 +38,7 @@ from tidewater.streaming.ingest import ingest_metrics, run_ingest, start_ingest,
 
 __all__ = [
     "EVENT_SCHEMA", "LANDED_SCHEMA", "TOPIC", "analyze_columns", "append_events", "apply_retention",
-    "build_session", "column_stats", "compact", "decode_events", "decode_rejects", "drop_expired_partitions",
+    "build_session", "column_stats", "compact", "compact_table", "decode_events", "decode_rejects", "drop_expired_partitions",
     "duplicate_keys", "encode_events", "event_envelope", "ingest_metrics", "inline_rows", "map_json",
     "orphans", "overwrite_csv", "overwrite_parquet", "partition_inventory", "preview", "read_landed",
     "read_partition_dir", "register_catalog", "register_landed", "retain", "run_ingest", "save_view",
