@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_bucketed(df: DataFrame, table: str, n: int, key, path: str, sort: bool = True) -> DataFrame:
-    """External table of ``n`` buckets hashed on ``key``, sorted inside each
-    bucket. Rows are unchanged. Two tables bucketed the same way on the join
+def write_bucketed(df: DataFrame, table: str, n: int, key, path: str | None = None, sort: bool = True) -> DataFrame:
+    """Table of ``n`` buckets hashed on ``key``, sorted inside each
+    bucket (external at ``path`` when given). Rows are unchanged. Two tables bucketed the same way on the join
     key join bucket-to-bucket: neither side is shuffled again.
 
     A REBALANCE on the key first gathers each bucket's rows (the shuffle
@@ -17,13 +17,10 @@ def write_bucketed(df: DataFrame, table: str, n: int, key, path: str, sort: bool
     bucket over several files.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    w = (
-        df.hint("rebalance", *keys)
-        .write.mode("overwrite")
-        .format("parquet")
-        .option("path", path)
-        .bucketBy(n, *keys)
-    )
+    w = df.hint("rebalance", *keys).write.mode("overwrite").format("parquet")
+    if path is not None:  # external table at ``path``; else managed, in the warehouse
+        w = w.option("path", path)
+    w = w.bucketBy(n, *keys)
     if sort:
         w = w.sortBy(*keys)
     w.saveAsTable(table)
