@@ -191,3 +191,14 @@ def test_incremental_compaction_of_a_catalog_table(spark, scratch):
     assert not [f for f in spark.table(t).inputFiles() if "staging" in f and "event_date=2024011" in f
                 and "event_date=20240110" not in f]
     assert compact_table(spark, t, f"{base}/staging2", target_mb=1) == []  # nothing left to do
+
+
+def test_true_foreign_keys_have_no_orphans(spark):
+    from conftest import SF01
+    from tidewater.sources.tables import read_table
+
+    t = lambda n: read_table(spark, SF01, n)
+    assert orphans(t("lineitem"), t("orders"), "l_orderkey", "o_orderkey").count() == 0
+    assert orphans(t("orders"), t("customer"), "o_custkey", "c_custkey").count() == 0
+    assert orphans(t("customer"), t("nation"), "c_nationkey", "n_nationkey").count() == 0
+    assert orphans(t("orders"), t("lineitem"), "o_orderkey", "l_orderkey").count() == 257
