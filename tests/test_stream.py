@@ -172,3 +172,14 @@ def test_kafka_kind_needs_the_connector(spark):
         assert "kafka" in str(e).lower()
     else:
         pytest.skip("spark-sql-kafka connector present; the source resolved")
+
+
+def test_record_log_on_request(spark, scratch):
+    from tidewater.streaming.ingest import start_record_log
+
+    base = scratch("records")
+    write_replay(envelope_fixture(spark, SF001).where(F.col("offset") < 10), f"{base}/topic")
+    env = event_envelope(spark, "replay", path=f"{base}/topic", starting="earliest")
+    q = run_ingest(start_record_log(env, once=True))
+    assert q.lastProgress["numInputRows"] == 30
+    assert "Foreach" in q.lastProgress["sink"]["description"]

@@ -34,7 +34,7 @@ from tidewater.sources.envelope import event_envelope, write_replay
 from tidewater.sources.inline import inline_rows
 from tidewater.sources.landed import read_landed, read_partition_dir
 from tidewater.sources.tables import register_catalog, save_view
-from tidewater.streaming.ingest import ingest_metrics, run_ingest, start_ingest, start_preview
+from tidewater.streaming.ingest import ingest_metrics, run_ingest, start_ingest, start_preview, start_record_log
 
 __all__ = [
     "EVENT_SCHEMA", "LANDED_SCHEMA", "TOPIC", "analyze_columns", "append_events", "apply_retention",
@@ -42,6 +42,6 @@ __all__ = [
     "duplicate_keys", "encode_events", "event_envelope", "ingest_metrics", "inline_rows", "map_json",
     "orphans", "overwrite_csv", "overwrite_parquet", "partition_inventory", "preview", "read_landed",
     "read_partition_dir", "register_catalog", "register_landed", "retain", "run_ingest", "save_view",
-    "skewed_values", "start_ingest", "start_preview", "sync_partitions", "take_rows", "where_equals",
+    "skewed_values", "start_ingest", "start_preview", "start_record_log", "sync_partitions", "take_rows", "where_equals",
     "with_event_hour", "workspace", "write_bucketed", "write_replay",
 ]

@@ -156,3 +156,21 @@ def start_preview(envelope: DataFrame, rows: int = 10, engine: str = "python", e
     )
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime=every)
     return w.start()
+
+
+def start_record_log(envelope: DataFrame, fn=None, engine: str = "python", every: str = "120 seconds",
+                     once: bool = False) -> StreamingQuery:
+    """Per-record sink, only on request (debugging): ``fn(row)`` runs on the
+    executors for every decoded event, as a print of each record would
+    (default: print to the executor's stdout). Row-at-a-time Python: keep it
+    off the ingest path."""
+    from tidewater.functions.codec import decode_events
+
+    w = decode_events(envelope, engine=engine).writeStream.foreach(fn or _print_record)
+    w = w.trigger(availableNow=True) if once else w.trigger(processingTime=every)
+    return w.start()
+
+
+def _print_record(row) -> None:
+    print(f"Received event: {row.asDict()}")
+
