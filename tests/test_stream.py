@@ -183,3 +183,17 @@ def test_record_log_on_request(spark, scratch):
     q = run_ingest(start_record_log(env, once=True))
     assert q.lastProgress["numInputRows"] == 30
     assert "Foreach" in q.lastProgress["sink"]["description"]
+
+
+def test_compact_closed_dates_of_a_stream_root(spark, scratch):
+    from tidewater.operators.compaction import compact
+
+    base = scratch("closed")
+    env = envelope_fixture(spark, SF001, chunk=True)
+    days = F.col("chunk").isin("20240101", "20240102", "20240103")
+    write_replay(env.where(days), f"{base}/topic", chunk="chunk")
+    _run(spark, f"{base}/topic", f"{base}/out", f"{base}/ck", max_files_per_trigger=1)
+    compact(spark, f"{base}/out", f"{base}/closed", where=F.col("event_date") < "20240103")
+    got = read_landed(spark, f"{base}/closed")
+    assert {r.event_date for r in got.select("event_date").distinct().collect()} == {"20240101", "20240102"}
+    assert got.count() == read_landed(spark, f"{base}/out").where(F.col("event_date") < "20240103").count()

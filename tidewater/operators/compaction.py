@@ -73,10 +73,19 @@ def compact(
     keys=PARTITION_KEYS,
     target_mb: float = 128,
     schema: T.StructType = LANDED_SCHEMA,
+    where=None,
 ) -> DataFrame:
     """Rewrite ``src_root`` into ``dst_root`` with at most
-    ``ceil(bytes / target)`` files per partition. Returns the size table."""
+    ``ceil(bytes / target)`` files per partition. Returns the size table.
+
+    ``where`` (a filter on partition columns, e.g. dates that are closed)
+    compacts part of the source: the filter prunes directories, so a live
+    stream root can be compacted date by date. A stream root is read through
+    its ``_spark_metadata`` log, so files of uncommitted batches are skipped.
+    """
     src = spark.read.schema(schema).parquet(src_root)
+    if where is not None:
+        src = src.where(where)
     # One row per partition, used twice (size check, join): cached, and
     # recomputed from its lineage if an executor holding it is lost.
     sizes = _with_file_bound(partition_sizes(src, keys), target_mb).cache()
