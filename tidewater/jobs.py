@@ -47,6 +47,7 @@ def ingest(args) -> None:
         spark, args.kind, path=args.path, brokers=args.brokers, topic=args.topic,
         starting=args.starting, checkpoint=args.checkpoint, group_id=args.group_id,
         min_partitions=args.min_partitions, max_files_per_trigger=args.max_files_per_trigger,
+        max_offsets_per_trigger=args.max_offsets_per_trigger,
     )
     q = start_ingest(env, args.root, args.checkpoint, every=args.every, once=args.once,
                      engine=args.engine, query_name="ingest")
@@ -91,6 +92,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--engine", choices=("auto", "python", "jvm"), default="auto")
     s.add_argument("--min-partitions", type=int)
     s.add_argument("--max-files-per-trigger", type=int)
+    s.add_argument("--max-offsets-per-trigger", type=int, help="bound a Kafka micro-batch (backlog catch-up)")
     s.set_defaults(run=ingest)
 
     s = sub.add_parser("filter-csv", help="equality filter, written as CSV")
