@@ -33,3 +33,13 @@ def test_ingest_job_on_replay_files(spark, scratch):
     main(["ingest", "--kind", "replay", "--path", f"{base}/topic", "--starting", "earliest",
           "--root", f"{base}/landed", "--checkpoint", f"{base}/ck", "--once"])
     assert read_landed(spark, f"{base}/landed").count() == env.where(F.col("chunk") <= "20240103").count()
+
+
+def test_copy_partition_job_ordered(spark, scratch):
+    root, out = scratch("job-root2"), scratch("job-copy2")
+    append_events(with_event_hour(event_fixture(spark, SF001)), root)
+    main(["copy-partition", "--root", root, "--date", "20240102", "--limit", "5",
+          "--order-by", "event_time", "--out", out])
+    got = [r.event_time for r in spark.read.parquet(out).collect()]
+    want = [r.event_time for r in read_landed(spark, root, date="20240102").orderBy("event_time").limit(5).collect()]
+    assert sorted(got) == want
