@@ -197,3 +197,17 @@ def test_compact_closed_dates_of_a_stream_root(spark, scratch):
     got = read_landed(spark, f"{base}/closed")
     assert {r.event_date for r in got.select("event_date").distinct().collect()} == {"20240101", "20240102"}
     assert got.count() == read_landed(spark, f"{base}/out").where(F.col("event_date") < "20240103").count()
+
+
+def test_publish_needs_the_kafka_connector(spark):
+    import pytest
+
+    from tidewater.sources.envelope import publish_events
+
+    env = envelope_fixture(spark, SF001).limit(1)
+    try:
+        publish_events(env, "localhost:1", "ecommerce_tst")
+    except Exception as e:  # connector jar absent in this image
+        assert "kafka" in str(e).lower()
+    else:
+        pytest.skip("spark-sql-kafka connector present")

@@ -54,6 +54,17 @@ def write_replay(envelope: DataFrame, root: str, chunk: str | None = None) -> No
     )
 
 
+def publish_events(envelope: DataFrame, brokers: str, topic: str | None = None) -> None:
+    """Publish envelope rows (key, value[, partition]) to a Kafka topic with
+    the batch Kafka sink (needs the spark-sql-kafka connector). Without
+    ``topic`` each row's own ``topic`` column is used."""
+    cols = ["key", "value"] + (["topic"] if topic is None else [])
+    w = envelope.select(*cols).write.format("kafka").option("kafka.bootstrap.servers", brokers)
+    if topic is not None:
+        w = w.option("topic", topic)
+    w.save()
+
+
 def _read_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     try:
         # Resolving a file source checks that the path exists.
