@@ -30,7 +30,7 @@ from tidewater.operators.keys import duplicate_keys, orphans
 from tidewater.operators.sinks import append_events, overwrite_csv, overwrite_parquet, preview
 from tidewater.operators.stats import column_stats
 from tidewater.session import build_session, workspace
-from tidewater.sources.envelope import event_envelope, write_replay
+from tidewater.sources.envelope import event_envelope, publish_events, write_replay
 from tidewater.sources.inline import inline_rows
 from tidewater.sources.landed import read_landed, read_partition_dir
 from tidewater.sources.tables import register_catalog, save_view
@@ -40,7 +40,7 @@ __all__ = [
     "EVENT_SCHEMA", "LANDED_SCHEMA", "TOPIC", "analyze_columns", "append_events", "apply_retention",
     "build_session", "column_stats", "compact", "compact_table", "decode_events", "decode_rejects", "drop_expired_partitions",
     "duplicate_keys", "encode_events", "event_envelope", "ingest_metrics", "inline_rows", "map_json",
-    "orphans", "overwrite_csv", "overwrite_parquet", "partition_inventory", "preview", "read_landed",
+    "orphans", "overwrite_csv", "overwrite_parquet", "partition_inventory", "preview", "publish_events", "read_landed",
     "read_partition_dir", "register_catalog", "register_landed", "retain", "run_ingest", "save_view",
     "skewed_values", "start_ingest", "start_preview", "start_record_log", "sync_partitions", "take_rows", "where_equals",
     "with_event_hour", "workspace", "write_bucketed", "write_replay",
