@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from tidewater.llm.exact import exact_groups
 from tidewater.llm.mixing import draw
 from tidewater.llm.packing import pack_documents
+from tidewater.llm.resample import resample
+from tidewater.llm.rules import quality_rules
+from tidewater.llm.toxicity import toxicity
+from tidewater.llm.warc import archive, lookup, read_records
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLE: dict[str, str] = {}
@@ -64,3 +68,47 @@ def op3(spark, sf_dir):
 @query("op8_best_fit_packing")
 def op8(spark, sf_dir):
     return pack_documents(_table(spark, sf_dir, "documents"))
+
+
+# --- op1: WARC and capture index ---------------------------------------------------
+
+WARC_SQL = r"""
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+b AS (
+  SELECT *, max(page_id) OVER (PARTITION BY hex) AS keep,
+    (SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+        (CAST('0x' || substr(hex || '00', 1 + 2 * ((5 * i) // 8), 4) AS BIGINT) >> (11 - (5 * i) % 8)) & 31 AS BIGINT), 1), '' ORDER BY i)
+     FROM range(32) t(i)) AS payload_digest
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = keep THEN NULL ELSE keep END AS refers_to
+FROM b"""
+
+
+@query("op1_warc_index", WARC_SQL)
+def op1(spark, sf_dir):
+    captures, directory = archive(_table(spark, sf_dir, "pages"))
+    found = lookup(directory, captures)
+    return read_records(found).drop("url")
+
+
+# --- op4: quality rules ------------------------------------------------------------
+
+@query("op4_quality_rules")
+def op4(spark, sf_dir):
+    return quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+# --- op9: importance resampling ----------------------------------------------------
+
+@query("op9_importance_resampling")
+def op9(spark, sf_dir):
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+# --- op10: toxicity ----------------------------------------------------------------
+
+@query("op10_toxicity")
+def op10(spark, sf_dir):
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
