@@ -37,7 +37,7 @@ MAX_SOURCES = 100_000  # rows of the per-source table that tasks get; more raise
 MAX_REPEAT = 3  # a target is at most this many times its source
 BLOCK_WORDS = 128
 SOURCE_BLOCKS = 1024  # smaller sources get smaller blocks, so that quotas stay exact
-ROWS_PER_CELL = 200_000
+ROWS_PER_CELL = 5_000
 
 
 def n_words(column: str = "text") -> F.Column:

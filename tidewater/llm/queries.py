@@ -13,6 +13,7 @@ from tidewater.llm.mixing import draw
 from tidewater.llm.packing import pack_documents
 from tidewater.llm.resample import resample
 from tidewater.llm.rules import quality_rules
+from tidewater.llm.substring import remove_repeats
 from tidewater.llm.toxicity import toxicity
 from tidewater.llm.warc import archive, lookup, read_records
 
@@ -112,3 +113,10 @@ def op9(spark, sf_dir):
 @query("op10_toxicity")
 def op10(spark, sf_dir):
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+# --- op6: substring dedup ------------------------------------------------------------
+
+@query("op6_substring_dedup")
+def op6(spark, sf_dir):
+    return remove_repeats(_table(spark, sf_dir, "documents"))
