@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.exact import exact_groups
 from tidewater.llm.mixing import draw
+from tidewater.llm.neardup import near_classes
 from tidewater.llm.packing import pack_documents
 from tidewater.llm.resample import resample
 from tidewater.llm.rules import quality_rules
@@ -120,3 +121,10 @@ def op10(spark, sf_dir):
 @query("op6_substring_dedup")
 def op6(spark, sf_dir):
     return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+# --- op5: near dedup -----------------------------------------------------------------
+
+@query("op5_dart_minhash")
+def op5(spark, sf_dir):
+    return near_classes(_table(spark, sf_dir, "documents"))
