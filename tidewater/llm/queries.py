@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.exact import exact_groups
+from tidewater.llm.lines import near_lines
 from tidewater.llm.mixing import draw
 from tidewater.llm.neardup import near_classes
 from tidewater.llm.packing import pack_documents
@@ -128,3 +129,28 @@ def op6(spark, sf_dir):
 @query("op5_dart_minhash")
 def op5(spark, sf_dir):
     return near_classes(_table(spark, sf_dir, "documents"))
+
+
+# --- op2: line dedup -----------------------------------------------------------------
+
+LINES_SQL = r"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents),
+l AS (SELECT doc_id, unnest(range(len(x))) AS line_no, trim(unnest(x), ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line FROM split),
+f AS (SELECT line, length(line) AS n, min(struct_pack(d := doc_id, l := line_no)) AS o FROM l WHERE length(line) >= 20 GROUP BY line),
+k AS (SELECT *, unnest(list_distinct([(n - 2) // 2, (n - 1) // 2])) AS m FROM f),
+p AS (
+  SELECT a.line AS a, b.line AS b, a.n AS na, b.n AS nb FROM k a JOIN k b ON a.m = b.m AND left(a.line, a.m) = left(b.line, b.m) AND b.o < a.o AND abs(a.n - b.n) <= 1
+  UNION SELECT a.line, b.line, a.n, b.n FROM k a JOIN k b ON a.m = b.m AND right(a.line, a.m) = right(b.line, b.m) AND b.o < a.o AND abs(a.n - b.n) <= 1),
+e AS (SELECT *, unnest(range(greatest(na, nb))) AS i FROM p),
+near AS (SELECT DISTINCT a FROM e WHERE left(a, i) = left(b, i)
+         AND substr(a, i + 1 + CASE WHEN na >= nb THEN 1 ELSE 0 END) = substr(b, i + 1 + CASE WHEN nb >= na THEN 1 ELSE 0 END)),
+gone AS (SELECT l.doc_id, CAST(l.line_no AS INTEGER) AS line_no FROM l JOIN f USING (line) LEFT JOIN near ON near.a = l.line
+         WHERE near.a IS NOT NULL OR f.o <> struct_pack(d := l.doc_id, l := l.line_no))
+SELECT s.doc_id, CAST(len(s.x) AS BIGINT) AS n_lines, count(g.line_no) AS n_dropped,
+       coalesce(list(g.line_no ORDER BY g.line_no) FILTER (WHERE g.line_no IS NOT NULL), CAST([] AS INTEGER[])) AS dropped
+FROM split s LEFT JOIN gone g ON g.doc_id = s.doc_id GROUP BY s.doc_id, s.x"""
+
+
+@query("op2_line_dedup", LINES_SQL)
+def op2(spark, sf_dir):
+    return near_lines(_table(spark, sf_dir, "documents"))
