@@ -80,3 +80,19 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def row_keys() -> list[F.Column]:
+    """Two columns, k1 and k2, that stand for a row's doc_id and text (null as empty)."""
+    return [F.xxhash64(F.col("doc_id").isNull(), "doc_id", text_of()).alias("k1"), F.crc32(text_of().cast("binary")).alias("k2")]
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, once: bool) -> DataFrame:
+    """The rows of ``docs`` whose keys are in ``kept`` (k1, k2), with all
+    their columns; with ``once``, one row of those with equal doc_id and text."""
+    a, b = fresh(docs, "k1"), fresh(docs, "k2")
+    k1, k2 = row_keys()
+    right = kept.select(F.col("k1").alias(a + "_kept"), F.col("k2").alias(b + "_kept")).distinct()
+    tagged = docs.select("*", k1.alias(a), k2.alias(b))
+    out = tagged.join(right, (F.col(a) == F.col(a + "_kept")) & (F.col(b) == F.col(b + "_kept")), "left_semi")
+    return (out.dropDuplicates([a, b]) if once else out).drop(a, b)

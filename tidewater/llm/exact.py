@@ -21,7 +21,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import SPACE, text_of, written
+from tidewater.llm.common import SPACE, keep_rows, row_keys, text_of, written
 
 FAN_IN = 16  # one hex digit per round
 
@@ -33,9 +33,9 @@ def normalised(column: str = "text") -> F.Column:
 def digests(docs: DataFrame) -> DataFrame:
     """(rid, doc_id, digest, check): SHA-256 of the normalised text, and a
     second, independent fingerprint that verifies equal digests."""
-    norm = docs.select("doc_id", normalised().alias("norm"))
+    norm = docs.select("doc_id", normalised().alias("norm"), *row_keys())
     return norm.select(
-        F.monotonically_increasing_id().alias("rid"), "doc_id",
+        F.monotonically_increasing_id().alias("rid"), "doc_id", "k1", "k2",
         F.sha2("norm", 256).alias("digest"),
         F.xxhash64("norm", F.length("norm")).alias("check"))
 
@@ -59,9 +59,7 @@ def tree_merge(rows: DataFrame) -> DataFrame:
     return runs.drop("slot")
 
 
-def exact_groups(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, keep_id (smallest doc_id of the equal
-    texts), group_size, kept (true for one row of a group), text_sha256."""
+def _groups(docs: DataFrame) -> DataFrame:
     rows = written(digests(docs), "exact-digests")
     merged = tree_merge(rows).where("n > 1")
     single = F.col("keep").isNull()
@@ -70,12 +68,15 @@ def exact_groups(docs: DataFrame) -> DataFrame:
         F.when(single, F.col("doc_id")).otherwise(F.col("keep.doc_id")).alias("keep_id"),
         F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
         (single | (F.col("keep.rid") == F.col("rid"))).alias("kept"),
-        F.col("digest").alias("text_sha256"))
+        F.col("digest").alias("text_sha256"), "k1", "k2")
+
+
+def exact_groups(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: doc_id, keep_id (smallest doc_id of the equal
+    texts), group_size, kept (true for one row of a group), text_sha256."""
+    return _groups(docs).drop("k1", "k2")
 
 
 def drop_exact(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_digest"))
-    tagged = docs.withColumn("_sha", F.sha2(normalised(), 256))
-    joined = tagged.join(kept, (F.col("_sha") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_keep_id")), "left_semi")
-    return joined.dropDuplicates(["_sha", "doc_id"]).drop("_sha")
+    return keep_rows(docs, _groups(docs).where("kept"), once=True)

@@ -16,7 +16,7 @@ Inputs: null text counts as empty (weight 0); null labels and ids in
 ``labels`` are ignored, a doc_id with several labels counts with its lowest;
 without labels of both classes all are kept; rows that tie at the cut all
 stay; repeated rows have equal noise; empty tables give an empty result;
-other columns are kept by ``resample`` and not read.
+``keep_good`` keeps all other columns.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import fresh, largest_cut, text_slices, written
+from tidewater.llm.common import keep_rows, largest_cut, row_keys, text_slices, written
 from tidewater.llm.rules import labelled_sample
 from tidewater.llm.words import Words, mix, uniform
 
@@ -76,19 +76,19 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
 
 
 def weigh(docs: DataFrame, ratio: np.ndarray, seed: int, extra: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, log_weight, perturbed (log_weight plus Gumbel noise), and ``extra`` columns."""
+    """doc_id, row keys, log_weight, perturbed (log_weight plus Gumbel noise), and ``extra`` columns."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches):
             row, bucket, n = ngrams(b.column("text"))
             weight = np.bincount(row, ratio[bucket], n)
-            u = uniform(mix(b.column("key").to_numpy().view(np.uint64)))
+            u = uniform(mix((b.column("k1").to_numpy() + seed).view(np.uint64)))
             noise = -np.log(-np.log(np.clip(u, 1e-16, 1 - 1e-16)))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(weight), pa.array(weight + noise), *[b.column(c) for c in extra]],
-                                             names=["doc_id", "log_weight", "perturbed", *extra])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("k1"), b.column("k2"), pa.array(weight), pa.array(weight + noise), *[b.column(c) for c in extra]],
+                                             names=["doc_id", "k1", "k2", "log_weight", "perturbed", *extra])
 
     types = dict(docs.dtypes)
-    keyed = docs.select("doc_id", "text", *extra, F.xxhash64(F.lit(seed), "doc_id", "text").alias("key"))
-    return keyed.mapInArrow(run, ", ".join([f"doc_id {types['doc_id']}, log_weight double, perturbed double", *[f"{c} {types[c]}" for c in extra]]))
+    keyed = docs.select("doc_id", "text", *extra, *row_keys())
+    return keyed.mapInArrow(run, ", ".join([f"doc_id {types['doc_id']}, k1 long, k2 long, log_weight double, perturbed double", *[f"{c} {types[c]}" for c in extra]]))
 
 
 def cut_point(score: np.ndarray, good: np.ndarray, miss: float = MISS) -> float:
@@ -102,8 +102,7 @@ def cut_point(score: np.ndarray, good: np.ndarray, miss: float = MISS) -> float:
     return (point + below.max()) / 2 if len(below) else point - 1.0
 
 
-def resample(docs: DataFrame, labels: DataFrame, seed: int = 11) -> DataFrame:
-    """doc_id, log_weight, perturbed and kept of every row of ``docs``."""
+def _resample(docs: DataFrame, labels: DataFrame, seed: int) -> DataFrame:
     sample = written(labelled_sample(docs, labels, "quality", SAMPLE_ROWS), "target-sample")
     raw = bucket_counts(docs)
     target = bucket_counts(sample.where("label = 1"))
@@ -116,7 +115,11 @@ def resample(docs: DataFrame, labels: DataFrame, seed: int = 11) -> DataFrame:
     return scored.withColumn("kept", F.lit(False) if cut is None else F.col("perturbed") >= F.lit(cut))
 
 
+def resample(docs: DataFrame, labels: DataFrame, seed: int = 11) -> DataFrame:
+    """doc_id, log_weight, perturbed and kept of every row of ``docs``."""
+    return _resample(docs, labels, seed).drop("k1", "k2")
+
+
 def keep_good(docs: DataFrame, labels: DataFrame, seed: int = 11) -> DataFrame:
     """The rows of ``docs`` that the resampling draws, with all their columns."""
-    kept = resample(docs, labels, seed).where("kept").select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
+    return keep_rows(docs, _resample(docs, labels, seed).where("kept"), once=False)
