@@ -33,15 +33,15 @@ def text_of(column: str = "text") -> F.Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = 2 << 20):
-    """Sub-batches of at most ``max_bytes`` of text (or one row): numpy work
-    arrays are many times the text, and Arrow batches are cut by rows only."""
+def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = 2 << 20, max_rows: int = 1 << 20):
+    """Sub-batches of at most ``max_bytes`` of text (or one row) and
+    ``max_rows`` rows: numpy work arrays are many times the text."""
     for batch in batches:
         i = batch.schema.get_field_index(column)
         lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(i)), 0).to_numpy(zero_copy_only=False)
         start, size = 0, 0
         for k, n in enumerate(lengths):
-            if k > start and size + n > max_bytes:
+            if k > start and (size + n > max_bytes or k - start >= max_rows):
                 yield batch.slice(start, k - start)
                 start, size = k, 0
             size += int(n)

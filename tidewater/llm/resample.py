@@ -80,7 +80,7 @@ def weigh(docs: DataFrame, ratio: np.ndarray, seed: int, extra: tuple[str, ...]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches):
             row, bucket, n = ngrams(b.column("text"))
-            weight = np.bincount(row, ratio[bucket], n)
+            weight = np.bincount(row, ratio[bucket], n).astype(np.float64)
             u = uniform(mix((b.column("k1").to_numpy() + seed).view(np.uint64)))
             noise = -np.log(-np.log(np.clip(u, 1e-16, 1 - 1e-16)))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("k1"), b.column("k2"), pa.array(weight), pa.array(weight + noise), *[b.column(c) for c in extra]],
