@@ -47,6 +47,7 @@ BLOCK_LINES = 1000
 FILE_CAPTURES = 200_000  # captures in one index file
 MAX_FILES = 100_000  # rows of the file table that lookup tasks get; more raise
 ARCHIVE_BYTES = 1 << 30
+READ_BYTES = 32 << 20  # of archives, for one reading task
 GAP = 1 << 16  # neighbouring records closer than this are read at once
 
 
@@ -267,7 +268,10 @@ def read_records(captures: DataFrame, with_payload: bool = False) -> DataFrame:
         if f is not None:
             f.close()
 
-    near = captures.repartition("file").sortWithinPartitions("file", "at")
+    # Rows are pointers: tasks are sized by the bytes they point to, not by their own.
+    captures = written(captures.select("file", "at", "bytes"), "wanted")
+    tasks = max(1, math.ceil((captures.agg(F.sum("bytes")).first()[0] or 0) / READ_BYTES))
+    near = captures.repartition(tasks, "file").sortWithinPartitions("file", "at")
     return near.select("file", "at", "bytes").mapInArrow(run, schema)
 
 
