@@ -107,16 +107,30 @@ def F_lit_str(v):
     return F.lit(v)
 
 
-@pytest.mark.parametrize("kind", ["jvm"])
-def test_jvm_decode_needs_jar(spark, kind):
-    """The from_protobuf path is used only where the spark-protobuf jar exists."""
+def test_jvm_decode_needs_jar(spark):
+    """The from_protobuf path is used only where the spark-protobuf jar
+    exists; with the jar there, a failure is a failure."""
+    from tidewater.functions.codec import jvm_decode_available
+
+    if not jvm_decode_available(spark):
+        pytest.skip("spark-protobuf jar not on the classpath")
     rows = [("20240101", "t", "view", 1, 2, "c", "b", 1.5, 3, "s")]
     env = encode_events(spark.createDataFrame(rows, EVENT_SCHEMA))
-    try:
-        got = decode_events(env, engine=kind).collect()
-    except Exception:
-        pytest.skip("spark-protobuf jar not on the classpath")
-    assert got[0]["event_type"] == "view"
+    assert decode_events(env, engine="jvm").collect()[0]["event_type"] == "view"
+    assert plan_text(decode_events(env, engine="jvm"), "simple").count("from_protobuf") == 1
+
+
+def test_a_deterministic_decode_is_evaluated_once(spark):
+    """The JVM decode is deterministic: without the barrier the optimizer
+    copies it into the filter on its result."""
+    from pyspark.sql import functions as F
+    from tidewater.functions.codec import evaluated_once
+
+    df = spark.range(3).select(F.concat(F.lit('{"a": '), F.col("id").cast("string"), F.lit("}")).alias("j"))
+    decoded = F.from_json("j", "a int, b string")
+    out = evaluated_once(df, "e", decoded).where(F.col("e.a") > 0).select("e.a", "e.b")
+    assert sorted(r.a for r in out.collect()) == [1, 2]
+    assert plan_text(out, "simple").count("from_json") == 1
 
 
 def test_auto_engine_falls_back_to_python(spark):

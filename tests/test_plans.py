@@ -63,3 +63,23 @@ def test_shuffle_sizing_for_scale():
 
     assert shuffle_partitions_for(100 * 1024 ** 4) == 819200  # 100 TB -> 128 MB reducers
     assert shuffle_partitions_for(1) == 200
+
+
+def test_registered_bucketed_join_has_no_exchange(spark):
+    from tidewater.operators.bucketing import drop_table
+    from tidewater.plans.queries import bucketed_revenue
+
+    names = unique_name("o"), unique_name("l")
+    plan = plan_text(bucketed_revenue(spark, SF001, *names), "simple")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and "Broadcast" not in plan
+    for n in names:
+        drop_table(spark, n)
+
+
+def test_inventory_is_a_hash_aggregate(spark, scratch):
+    from tidewater.operators.catalog import partition_inventory
+
+    root = scratch("inv-plan")
+    append_events(with_event_hour(event_fixture(spark, SF001)), root)
+    plan = plan_text(partition_inventory(read_landed(spark, root)), "simple")
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Expand" not in plan

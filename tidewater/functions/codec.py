@@ -197,35 +197,44 @@ _JVM_OK: dict[str, bool] = {}
 
 
 def jvm_decode_available(spark) -> bool:
-    """Whether ``from_protobuf`` resolves in this session (spark-protobuf jar
-    on the classpath); probed once per application."""
+    """Whether the spark-protobuf jar is on the session's classpath; probed
+    once per application. With the jar there, a failing ``from_protobuf`` is
+    an error and isn't hidden by falling back."""
     app = spark.conf.get("spark.app.id", "") or "default"
     if app not in _JVM_OK:
         try:
-            spark.range(1).select(_decode_jvm(F.lit(b"").cast("binary")).alias("e")).schema
+            loader = spark.sparkContext._jvm.org.apache.spark.util.Utils.getContextOrSparkClassLoader()
+            loader.loadClass("org.apache.spark.sql.protobuf.ProtobufDataToCatalyst")
             _JVM_OK[app] = True
-        except Exception:
+        except Exception:  # class not found, or a session without a JVM gateway
             _JVM_OK[app] = False
     return _JVM_OK[app]
 
 
-def decode_status(envelope: DataFrame, engine: str = "python") -> DataFrame:
+def evaluated_once(df: DataFrame, name: str, column: Column) -> DataFrame:
+    """``df`` with ``column``, which the optimizer can't copy into later
+    filters: they don't move below a generator."""
+    return df.select("*", F.explode(F.array(column)).alias(name))
+
+
+def decode_status(envelope: DataFrame, engine: str = "auto") -> DataFrame:
     """Envelope plus a ``_e`` struct: the 10 fields, ``_ok`` and ``_reason``.
 
     ``engine``: ``python`` (pandas UDF), ``jvm`` (``from_protobuf``, needs the
-    spark-protobuf jar) or ``auto`` (``jvm`` where it resolves, else python).
+    spark-protobuf jar) or ``auto`` (``jvm`` where the jar is there, else python).
     """
     if engine == "auto":
         engine = "jvm" if jvm_decode_available(envelope.sparkSession) else "python"
-    col = _decode_jvm(F.col("value")) if engine == "jvm" else decode_payload(F.col("value"))
-    return envelope.withColumn("_e", col)
+    if engine == "jvm":
+        return evaluated_once(envelope, "_e", _decode_jvm(F.col("value")))
+    return envelope.withColumn("_e", decode_payload(F.col("value")))
 
 
 def decoded_columns(keep=()) -> list[Column]:
     return [F.col(k) for k in keep] + [F.col(f"_e.{n}").alias(n) for n in EVENT_COLUMNS]
 
 
-def decode_events(envelope: DataFrame, keep=(), engine: str = "python") -> DataFrame:
+def decode_events(envelope: DataFrame, keep=(), engine: str = "auto") -> DataFrame:
     """Decoded events in declared order; undecodable records are dropped.
 
     ``keep`` names envelope columns carried in front of the event columns.
@@ -233,7 +242,7 @@ def decode_events(envelope: DataFrame, keep=(), engine: str = "python") -> DataF
     return decode_status(envelope, engine).where(F.col("_e._ok")).select(*decoded_columns(keep))
 
 
-def decode_rejects(envelope: DataFrame, engine: str = "python") -> DataFrame:
+def decode_rejects(envelope: DataFrame, engine: str = "auto") -> DataFrame:
     """Records that did not decode: where they came from and why."""
     return (
         decode_status(envelope, engine)

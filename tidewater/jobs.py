@@ -23,39 +23,40 @@ from pyspark.sql import SparkSession  # noqa: E402
 from tidewater.functions.schema import TOPIC  # noqa: E402
 from tidewater.operators.basic import take_rows, where_equals  # noqa: E402
 from tidewater.operators.sinks import overwrite_csv, overwrite_parquet, preview  # noqa: E402
-from tidewater.session import SCALE_CONF, pin_utc  # noqa: E402
+from tidewater.session import build_session, pin_utc, ship_package  # noqa: E402
 from tidewater.sources.envelope import event_envelope  # noqa: E402
 from tidewater.sources.inline import people  # noqa: E402
 from tidewater.sources.landed import read_partition_dir  # noqa: E402
-from tidewater.streaming.ingest import run_ingest, start_ingest  # noqa: E402
+from tidewater.streaming.ingest import MetricsLog, run_ingest, start_ingest  # noqa: E402
 
 
-def _session(app: str, hive: bool = False) -> SparkSession:
-    b = SparkSession.builder.appName(app)
-    for k, v in SCALE_CONF.items():
-        b = b.config(k, v)
-    if hive:
-        b = b.enableHiveSupport()
-    spark = b.getOrCreate()
+def _session(args, app: str) -> SparkSession:
+    spark = build_session(
+        app=app, hive=getattr(args, "hive", False), metastore_uri=getattr(args, "metastore_uri", None),
+        shuffle_partitions=args.shuffle_partitions, largest_shuffle_bytes=args.largest_shuffle_bytes)
     pin_utc(spark)
+    ship_package(spark)
     return spark
 
 
 def ingest(args) -> None:
-    spark = _session("tidewater-ingest")
+    spark = _session(args, "tidewater-ingest")
     env = event_envelope(
         spark, args.kind, path=args.path, brokers=args.brokers, topic=args.topic,
         starting=args.starting, checkpoint=args.checkpoint, group_id=args.group_id,
         min_partitions=args.min_partitions, max_files_per_trigger=args.max_files_per_trigger,
         max_offsets_per_trigger=args.max_offsets_per_trigger,
     )
+    log = MetricsLog(spark, args.metrics_root) if args.metrics_root else None
     q = start_ingest(env, args.root, args.checkpoint, every=args.every, once=args.once,
-                     engine=args.engine, query_name="ingest")
+                     engine=args.engine, query_name="ingest", rejects=args.rejects)
     run_ingest(q)
+    if log:
+        log.close(q)
 
 
 def filter_csv(args) -> None:
-    spark = _session("tidewater-filter-csv")
+    spark = _session(args, "tidewater-filter-csv")
     rows = spark.read.parquet(args.input) if args.input else people(spark)
     if args.show:
         preview(rows)
@@ -66,12 +67,12 @@ def filter_csv(args) -> None:
 
 
 def copy_partition(args) -> None:
-    spark = _session("tidewater-copy-partition", hive=args.hive)
+    spark = _session(args, "tidewater-copy-partition")
     rows = take_rows(read_partition_dir(spark, args.root, args.date), args.limit,
                      order_by=args.order_by or None)
-    if args.show:
-        preview(rows)
     overwrite_parquet(rows, args.out)
+    if args.show:  # what was stored: an unordered limit may pick other rows each time it runs
+        preview(spark.read.parquet(args.out))
 
 
 def parser() -> argparse.ArgumentParser:
@@ -93,6 +94,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--min-partitions", type=int)
     s.add_argument("--max-files-per-trigger", type=int)
     s.add_argument("--max-offsets-per-trigger", type=int, help="bound a Kafka micro-batch (backlog catch-up)")
+    s.add_argument("--rejects", action="store_true", help="land undecodable records too, marked as rejected")
+    s.add_argument("--metrics-root", help="Parquet table of one row per micro-batch")
     s.set_defaults(run=ingest)
 
     s = sub.add_parser("filter-csv", help="equality filter, written as CSV")
@@ -111,7 +114,11 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--out", required=True)
     s.add_argument("--show", action="store_true")
     s.add_argument("--hive", action="store_true", help="Hive-enabled session (cluster metastore)")
+    s.add_argument("--metastore-uri", help="metastore address (default: the cluster's hive-site.xml)")
     s.set_defaults(run=copy_partition)
+    for s in sub.choices.values():
+        s.add_argument("--shuffle-partitions", type=int)
+        s.add_argument("--largest-shuffle-bytes", type=int, help="size the shuffle partitions for this many bytes")
     return p
 
 

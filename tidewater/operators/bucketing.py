@@ -27,17 +27,25 @@ def write_bucketed(df: DataFrame, table: str, n: int, key, path: str | None = No
     return df.sparkSession.table(table)
 
 
-def skewed_values(df: DataFrame, column: str, share: float) -> DataFrame:
-    """Values of ``column`` whose share of the rows is at least ``share``.
+def bucket_count(spark: SparkSession) -> int:
+    """Buckets for a table as large as the session's largest shuffle: as many
+    as its shuffle partitions (see ``session.shuffle_partitions_for``)."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def skewed_values(df: DataFrame, columns, share: float) -> DataFrame:
+    """Values of ``columns`` (a name or several) whose share of the rows is at
+    least ``share``; with several, values are combinations.
 
     Counts are aggregated first (map-side combine); the total is a scalar
     subquery over those counts, so the input is scanned and shuffled once
     (the subquery reuses the same exchange) and nothing but one number is
     broadcast.
     """
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    names = [columns] if isinstance(columns, str) else list(columns)
+    counts = df.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
     total = counts.select(F.sum("n")).scalar()
-    return counts.select(column, "n", (F.col("n") / total).alias("share")).where(
+    return counts.select(*names, "n", (F.col("n") / total).alias("share")).where(
         F.col("share") >= F.lit(share)
     )
 

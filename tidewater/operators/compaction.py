@@ -7,29 +7,21 @@ so rewriting such a root in place would hide the rewrite.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions.schema import LANDED_SCHEMA, PARTITION_KEYS
+from tidewater.operators.files import list_files, partition_sizes
 
-# Largest partition-size table we broadcast (one row per partition, a few
-# dozen bytes each). Beyond it the join back is a regular shuffle join.
-BROADCAST_MAX_PARTITIONS = 2_000_000
 
-
-def partition_sizes(src: DataFrame, keys=PARTITION_KEYS) -> DataFrame:
-    """Bytes on disk per partition, from the file listing (``_metadata``).
-
-    The per-file rows collapse in partial aggregation (one row per file per
-    task), so only about one row per file is shuffled.
-    """
-    files = src.select(
-        *keys,
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_size").alias("_size"),
+def table_files(src: DataFrame, keys=PARTITION_KEYS) -> DataFrame:
+    """(keys, file, size) of the files behind a scan. A catalog table's
+    partitions may lie anywhere, so this asks the scan itself: a pass over
+    file footers, which map-side aggregation reduces to a row per file."""
+    return src.select(
+        *keys, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_size").alias("_size"),
     ).dropDuplicates([*keys, "_file"])
-    return files.groupBy(*keys).agg(F.sum("_size").alias("bytes"), F.count(F.lit(1)).alias("files"))
 
 
 def _salted_rewrite(src: DataFrame, sizes: DataFrame, keys, dst_root: str) -> None:
@@ -38,12 +30,12 @@ def _salted_rewrite(src: DataFrame, sizes: DataFrame, keys, dst_root: str) -> No
 
     Rows of one partition are spread over ``_n`` salts and the shuffle is on
     (keys, salt): one hot hour goes to ``_n`` tasks instead of one, and each
-    task writes one file per partition. The size table (one row per
-    partition) is broadcast only after a row-count check.
+    task writes one file per partition. The size table has one row per
+    partition; whether it is broadcast is Spark's choice, from its real size
+    at run time, and otherwise the skew join splits a hot partition.
     """
-    small_enough = sizes.count() <= BROADCAST_MAX_PARTITIONS
-    plan = sizes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_n")
-    plan = F.broadcast(plan) if small_enough else plan
+    types = dict(src.dtypes)
+    plan = sizes.select(*[F.col(k).cast(types[k]).alias(f"_k{i}") for i, k in enumerate(keys)], "_n")
     data_cols = [c for c in src.columns if c not in keys]
     # Null partition keys must match too: join with null-safe equality.
     cond = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
@@ -84,61 +76,107 @@ def compact(
     its ``_spark_metadata`` log, so files of uncommitted batches are skipped.
     """
     src = spark.read.schema(schema).parquet(src_root)
+    types = dict(src.dtypes)
+    listed = partition_sizes(spark, src_root, keys)
+    sizes = listed.select(*[F.col(k).cast(types[k]).alias(k) for k in keys], "bytes", "files")
     if where is not None:
-        src = src.where(where)
-    # One row per partition, used twice (size check, join): cached, and
-    # recomputed from its lineage if an executor holding it is lost.
-    sizes = _with_file_bound(partition_sizes(src, keys), target_mb).cache()
+        src, sizes = src.where(where), sizes.where(where)
+    # One row per partition, used twice (by the rewrite and the caller):
+    # cached, and listed again if an executor holding it is lost.
+    sizes = _with_file_bound(sizes, target_mb).cache()
     _salted_rewrite(src, sizes, keys, dst_root)
     sizes.unpersist()
     return sizes
 
 
+def _quoted(value) -> str:
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _state(spark: SparkSession, table: str, where, keys) -> DataFrame:
+    """Per partition: files, bytes and a fingerprint of the file set, now."""
+    spark.catalog.refreshTable(table)
+    src = spark.table(table)
+    files = table_files(src if where is None else src.where(where), keys)
+    return files.groupBy(*keys).agg(
+        F.sum("_size").alias("bytes"), F.count(F.lit(1)).alias("files"),
+        F.sum(F.xxhash64("_file", "_size").cast("decimal(38,0)")).alias("_set"))
+
+
 def compact_table(
     spark: SparkSession,
     table: str,
     staging_root: str,
+    where,
     keys=PARTITION_KEYS,
     target_mb: float = 128,
-) -> list[tuple]:
-    """Incremental compaction of a partitioned catalog table.
-
-    Only partitions holding more files than ``ceil(bytes / target)`` are
-    rewritten (into ``staging_root``); each is then pointed at its new
-    directory with ``ALTER TABLE … PARTITION … SET LOCATION`` — a metadata
-    swap, so readers of the table switch partition by partition and already
-    compact partitions are never rewritten. Old files stay where they were
-    for a later cleanup. Partitions with a null key are left as they are.
-    Returns the rewritten partition keys.
+) -> dict[str, list[tuple]]:
+    """Incremental compaction of the closed partitions of a catalog table.
+
+    ``where`` is a filter on the partition columns that only closed
+    partitions pass (dates nobody appends to any more). Of those, the ones
+    with more files than ``ceil(bytes / target)`` are rewritten into
+    ``staging_root``; each is then pointed at its new directory with
+    ``ALTER TABLE … PARTITION … SET LOCATION``: a metadata swap, so readers
+    switch partition by partition. Before the swaps the files are listed
+    again: a partition whose file set changed since the rewrite read it is
+    left alone and reported, so an append is never hidden. Old files stay for
+    a later cleanup. Partitions with a null key are left as they are.
+
+    Returns {"swapped": [...], "skipped": [...]}, partition keys each; both
+    are bounded by the number of closed partitions, not by the data.
     """
-    src = spark.table(table)
-    sizes = _with_file_bound(partition_sizes(src, keys), target_mb)
-    not_null = [F.col(k).isNotNull() for k in keys]
-    cands = sizes.where(F.col("files") > F.col("_n"))
-    for c in not_null:
-        cands = cands.where(c)
-    cands = cands.cache()
-    # partition keys only: bounded by the partition count, not the data
-    picked = [tuple(r[k] for k in keys) for r in cands.select(*keys).collect()]
-    if picked:
-        _salted_rewrite(src, cands, keys, staging_root)
-        root = staging_root.rstrip("/")
-        for values in picked:
-            spec = ", ".join(f"`{k}` = '{v}'" for k, v in zip(keys, values))
-            where = "/".join(f"{k}={v}" for k, v in zip(keys, values))
-            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{root}/{where}'")
-        spark.sql(f"REFRESH TABLE {table}")
-    cands.unpersist()
-    return picked
-
-
-def retain(df: DataFrame, column: str = "event_date", days: int = 7, fmt: str = "yyyyMMdd") -> DataFrame:
-    """Keep rows whose date is within ``days`` of the newest date
-    (the newest ``days`` dates). The newest date is a scalar subquery; on a
-    partition column the filter prunes directories."""
+    spark.catalog.refreshTable(table)
+    src = spark.table(table).where(where)
+    picked = _with_file_bound(_state(spark, table, where, keys), target_mb).where(F.col("files") > F.col("_n"))
+    for k in keys:
+        picked = picked.where(F.col(k).isNotNull())
+    picked = picked.cache()
+    before = {tuple(r[k] for k in keys): (r["files"], r["_set"]) for r in picked.collect()}
+    out: dict[str, list[tuple]] = {"swapped": [], "skipped": []}
+    if before:
+        _salted_rewrite(src, picked, keys, staging_root)
+        types = dict(src.dtypes)
+        # Directories as the writer named them: it escapes some key values.
+        written = (list_files(spark, staging_root, keys).select("directory", *[F.col(k).cast(types[k]).alias(k) for k in keys]).distinct())
+        now = {tuple(r[k] for k in keys): (r["files"], r["_set"]) for r in _state(spark, table, where, keys).collect()}
+        for r in written.collect():
+            values = tuple(r[k] for k in keys)
+            if now.get(values) != before.get(values):
+                out["skipped"].append(values)
+                continue
+            spec = ", ".join(f"`{k}` = {_quoted(v)}" for k, v in zip(keys, values))
+            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION {_quoted(r['directory'])}")
+            out["swapped"].append(values)
+        spark.catalog.refreshTable(table)
+    picked.unpersist()
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def expired(column: Column, newest: Column, days: int, fmt: str = "yyyyMMdd") -> Column:
+    """The one retention rule: true where the date lies more than ``days``
+    days before ``newest``. False for text that isn't a date: undated rows
+    and partitions are never dropped."""
+    d = F.try_to_timestamp(column, F.lit(fmt)).cast("date")
+    return F.coalesce(d < F.date_sub(newest, days), F.lit(False))
+
+
+def newest_date(dates: DataFrame, column: str, as_of=None, fmt: str = "yyyyMMdd") -> Column:
+    """The date to count back from: ``as_of`` where given, else the newest
+    date that isn't in the future (producers write the dates, and one event
+    dated 2099 must not expire the table)."""
+    if as_of is not None:
+        return F.lit(as_of).cast("date")
     d = F.try_to_timestamp(F.col(column), F.lit(fmt)).cast("date")
-    newest = df.select(F.max(d)).scalar()
-    return df.where(d > F.date_sub(newest, days))
+    return dates.select(F.max(F.when(d <= F.current_date(), d))).scalar()
+
+
+def retain(df: DataFrame, column: str = "event_date", days: int = 7, fmt: str = "yyyyMMdd", as_of=None,
+           dates: DataFrame | None = None) -> DataFrame:
+    """Drop the rows that ``expired`` names. ``dates`` is a small frame to
+    take the newest date from (a listing of partitions); without it, ``df``."""
+    newest = newest_date(df if dates is None else dates, column, as_of, fmt)
+    return df.where(~expired(F.col(column), newest, days, fmt))
 
 
 def apply_retention(
@@ -148,7 +186,10 @@ def apply_retention(
     days: int = 7,
     keys=PARTITION_KEYS,
     schema: T.StructType = LANDED_SCHEMA,
+    as_of=None,
 ) -> None:
-    """Publish the retained partitions to a new root."""
-    kept = retain(spark.read.schema(schema).parquet(src_root), keys[0], days)
+    """Publish the retained partitions to a new root. The newest date comes
+    from the file listing, and expired directories aren't opened."""
+    listed = list_files(spark, src_root, keys)
+    kept = retain(spark.read.schema(schema).parquet(src_root), keys[0], days, as_of=as_of, dates=listed)
     kept.hint("rebalance", *keys).write.mode("errorifexists").partitionBy(*keys).parquet(dst_root)

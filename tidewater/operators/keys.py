@@ -23,13 +23,14 @@ def duplicate_keys(df: DataFrame, pk) -> DataFrame:
     )
 
 
-def orphans(child: DataFrame, parent: DataFrame, child_keys, parent_keys=None) -> DataFrame:
+def orphans(child: DataFrame, parent: DataFrame, child_keys, parent_keys=None, nulls: bool = False) -> DataFrame:
     """Child rows whose key has no match in ``parent`` (left anti join).
 
     The parent side is reduced to its distinct keys first, so a hot parent
     key shuffles one row per task; the optimizer broadcasts the key set
     when its size estimate is small, and AQE splits a hot child key.
-    Rows with a null key are orphans too (they match nothing).
+    Rows with a null in their key pass, as under an SQL foreign key; with
+    ``nulls`` they are reported too.
     """
     child_keys = [child_keys] if isinstance(child_keys, str) else list(child_keys)
     parent_keys = child_keys if parent_keys is None else (
@@ -37,5 +38,7 @@ def orphans(child: DataFrame, parent: DataFrame, child_keys, parent_keys=None) -
     )
     names = [f"_pk{i}" for i in range(len(parent_keys))]
     keys = parent.select(*[F.col(p).alias(n) for p, n in zip(parent_keys, names)]).distinct()
+    if not nulls:
+        child = child.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in child_keys]))
     cond = reduce(lambda a, b: a & b, [child[c] == keys[n] for c, n in zip(child_keys, names)])
     return child.join(keys, cond, "left_anti")

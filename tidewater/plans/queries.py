@@ -8,6 +8,7 @@ scratch root, then return a lazy read of what was written.
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -19,11 +20,12 @@ from tidewater.functions.codec import REASON_UNDECODABLE, decode_events, decode_
 from tidewater.functions.schema import EVENT_FIELDS, PARTITION_KEYS, TOPIC, WITH_EVENT_ID, landed_schema
 from tidewater.functions.timefn import with_event_hour
 from tidewater.operators.basic import take_rows, where_equals
-from tidewater.operators.bucketing import skewed_values, write_bucketed
+from tidewater.operators.bucketing import bucket_count, drop_table, skewed_values, write_bucketed
 from tidewater.operators.catalog import (
     drop_expired_partitions, partition_inventory, register_landed, sync_partitions,
 )
-from tidewater.operators.compaction import compact, retain
+from tidewater.operators.compaction import compact, compact_table, retain
+from tidewater.operators.files import list_files, partition_sizes
 from tidewater.operators.jsonmap import map_json
 from tidewater.operators.keys import duplicate_keys, orphans
 from tidewater.operators.sinks import append_events, overwrite_csv, overwrite_parquet, read_csv
@@ -33,8 +35,10 @@ from tidewater.session import pin_utc, shared_root, unique_name, workspace
 from tidewater.sources.envelope import event_envelope, read_replay, write_replay
 from tidewater.sources.fixtures import envelope_fixture, event_fixture
 from tidewater.sources.landed import read_landed, read_partition_dir
-from tidewater.sources.tables import read_table, register_catalog, save_view
-from tidewater.streaming.ingest import PROGRESS_RETENTION, ingest_metrics, run_ingest, start_ingest
+from tidewater.sources.tables import drop_view, read_table, register_catalog, save_view
+from tidewater.streaming.ingest import (
+    MetricsLog, read_ingested, read_metrics, read_rejects, run_ingest, start_ingest,
+)
 
 # Fixed values of the test queries.
 PURCHASE = "purchase"
@@ -43,9 +47,11 @@ LIMIT_ROWS = 100
 CORRUPT_EVERY = 50
 ARRIVAL_SPLIT = "2024-01-16 00:00:00"  # first replay arrival: events before this time
 RETAIN_DAYS = 7
+UNDATED_EVERY = 100  # events whose date the retention queries blank, to see them kept
 SKEW_SHARE = 0.2
-BUCKETS = 8
-JSON_MAPPING = [("product_id", "$.k", "bigint"), ("k_text", "$.k", "string"), ("missing", "$.nope", "int")]
+PAIR_SHARE = 0.1
+EXACT_DISTINCT = ("event_date", "event_hour", "event_type")
+JSON_MAPPING = [("product_id", "k", "BIGINT"), ("k_text", "k", "VARCHAR"), ("missing", "nope", "INTEGER")]
 
 FIXTURE_SCHEMA = T.StructType(
     [T.StructField("event_id", T.LongType(), True)] + [T.StructField(n, t, True) for n, _, _, t in EVENT_FIELDS]
@@ -93,10 +99,22 @@ def _landed(spark: SparkSession, sf_dir: str, name: str) -> str:
 _SHARED: dict[tuple, str] = {}
 
 
-def _shared(spark: SparkSession, key: tuple, name: str, build) -> str:
-    """A table written once per shared root and key, then read by many
-    queries (land once, query many). Rebuilt if its folder is gone."""
-    k = (shared_root(spark), *key)
+def _source_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """What identifies the files behind the event queries: their number,
+    bytes, newest change and a fingerprint of the list."""
+    out = []
+    for t in ("events", "part"):
+        files = spark.read.format("binaryFile").load(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        out += files.agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime"),
+                         F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()
+    return tuple(out)
+
+
+def _shared(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """A table written once per shared root and state of the source files,
+    then read by many queries (land once, query many). Rebuilt when a source
+    file changes or the folder is gone."""
+    k = (shared_root(spark), sf_dir, name, _source_state(spark, sf_dir))
     path = _SHARED.get(k)
     if path is not None:
         try:
@@ -112,16 +130,34 @@ def _shared(spark: SparkSession, key: tuple, name: str, build) -> str:
 
 def _landed_table(spark: SparkSession, sf_dir: str) -> str:
     """The landed event table (fixture + hour) that read-side queries scan."""
-    return _shared(spark, ("landed", sf_dir), "landed-shared",
+    return _shared(spark, sf_dir, "landed-shared",
                    lambda p: append_events(with_event_hour(event_fixture(spark, sf_dir)), p))
 
 
+def _undated_table(spark: SparkSession, sf_dir: str) -> str:
+    """The landed table with the date of every UNDATED_EVERY-th event blank."""
+    def build(path: str) -> None:
+        rows = with_event_hour(event_fixture(spark, sf_dir))
+        blank = F.when(F.col("event_id") % UNDATED_EVERY == 0, F.lit("")).otherwise(F.col("event_date"))
+        append_events(rows.withColumn("event_date", blank), path)
+
+    return _shared(spark, sf_dir, "undated-shared", build)
+
+
 def _replay_topic(spark: SparkSession, sf_dir: str, corrupt: int | None = None) -> str:
     """Replay files of the envelope, one directory per event date."""
-    return _shared(spark, ("topic", sf_dir, corrupt), "topic-shared", lambda p: write_replay(
+    return _shared(spark, sf_dir, f"topic-shared-{corrupt}", lambda p: write_replay(
         envelope_fixture(spark, sf_dir, corrupt_every=corrupt, chunk=True), p, chunk="chunk"))
 
 
+def _settled(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, so that the catalog
+    tables behind it can be dropped."""
+    path = workspace(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _key_to_id(df: DataFrame) -> DataFrame:
     return df.withColumn("event_id", F.col("key").cast("bigint")).drop("key")
 
@@ -209,26 +245,49 @@ def malformed_rejects(spark, sf_dir):
 
 # --- streaming ---------------------------------------------------------------
 
-def _ingest(spark, topic, out, ck, **kw):
+def _ingest(spark, topic, out, ck, rejects=False, **kw):
     starting = kw.pop("starting", "earliest")
     env = event_envelope(spark, "replay", path=topic, starting=starting, checkpoint=ck, **kw)
-    q = start_ingest(env, out, ck, once=True, keep=("key",))
-    return run_ingest(q)
+    return run_ingest(start_ingest(env, out, ck, once=True, keep=("key",), rejects=rejects))
 
 
 @query("stream_ingest", Q.with_fixture(f"SELECT {Q.LANDED_COLS} FROM fx"))
 def stream_ingest(spark, sf_dir):
     topic, base = _replay_topic(spark, sf_dir), workspace(spark, "stream")
-    _ingest(spark, topic, f"{base}/landed", f"{base}/ck", max_files_per_trigger=10)
+    _ingest(spark, topic, f"{base}/landed", f"{base}/ck")
     return _key_to_id(read_landed(spark, f"{base}/landed", schema=LANDED_WITH_KEY))
 
 
-@query("late_data", Q.with_fixture(
-    "SELECT event_date, event_hour, count(*) AS n FROM fx GROUP BY event_date, event_hour"))
+@query("stream_rejects", f"""
+SELECT '{TOPIC}' AS topic, CAST(event_id % 3 AS INTEGER) AS "partition",
+       event_id // 3 AS "offset", '{REASON_UNDECODABLE}' AS reason
+FROM events WHERE event_id % {CORRUPT_EVERY} = 0""")
+def stream_rejects(spark, sf_dir):
+    """Undecodable records as rows, landed by the same decode as the events."""
+    topic, base = _replay_topic(spark, sf_dir, CORRUPT_EVERY), workspace(spark, "rejects")
+    _ingest(spark, topic, f"{base}/landed", f"{base}/ck", rejects=True)
+    return read_rejects(spark, f"{base}/landed")
+
+
+@query("late_data", Q.with_fixture(f"""
+SELECT event_date, event_hour, count(*) FILTER (WHERE ts >= TIMESTAMP '{ARRIVAL_SPLIT}') AS n_first, count(*) AS n
+FROM fx GROUP BY event_date, event_hour"""))
 def late_data(spark, sf_dir):
-    topic, base = _replay_topic(spark, sf_dir), workspace(spark, "late")
-    _ingest(spark, topic, f"{base}/landed", f"{base}/ck", max_files_per_trigger=10, latest_first=True)
-    return read_landed(spark, f"{base}/landed").groupBy(*PARTITION_KEYS).agg(F.count(F.lit(1)).alias("n"))
+    """Newer events arrive and land first, the older ones in a later run:
+    each lands in the directory of its own date, none is dropped as late."""
+    base = workspace(spark, "late")
+    topic, out, ck = f"{base}/topic", f"{base}/landed", f"{base}/ck"
+    env = envelope_fixture(spark, sf_dir, chunk=True)
+    late = F.col("timestamp") < F.lit(ARRIVAL_SPLIT).cast("timestamp")
+    per_hour = lambda n: read_landed(spark, out).groupBy(*PARTITION_KEYS).agg(F.count(F.lit(1)).alias(n))
+    write_replay(env.where(~late), topic, chunk="chunk")
+    _ingest(spark, topic, out, ck)
+    first = _settled(per_hour("n_first"), "late-first")
+    write_replay(env.where(late), topic, chunk="chunk")
+    _ingest(spark, topic, out, ck)
+    both = [F.col(k).eqNullSafe(F.col(f"f_{k}")) for k in PARTITION_KEYS]
+    seen = first.select(*[F.col(k).alias(f"f_{k}") for k in PARTITION_KEYS], "n_first")
+    return per_hour("n").join(seen, both, "left").select(*PARTITION_KEYS, F.coalesce("n_first", F.lit(0)).alias("n_first"), "n")
 
 
 @query("offset_start", Q.with_fixture(
@@ -247,35 +306,15 @@ def offset_start(spark, sf_dir):
     return _key_to_id(read_landed(spark, out, schema=LANDED_WITH_KEY))
 
 
-_METRICS_SCHEMA = T.StructType([
-    T.StructField("batch_id", T.LongType(), True),
-    T.StructField("records", T.LongType(), True),
-    T.StructField("rejects", T.LongType(), True),
-    T.StructField("first_date", T.StringType(), True),
-])
-
-
 @query("batch_metrics", f"""
-SELECT strftime(ts, '%Y%m%d') AS event_date, count(*) AS records,
-       count(*) FILTER (WHERE event_id % {CORRUPT_EVERY} = 0) AS rejects
-FROM events GROUP BY 1""")
+SELECT count(*) AS records, count(*) FILTER (WHERE event_id % {CORRUPT_EVERY} = 0) AS rejects FROM events""")
 def batch_metrics(spark, sf_dir):
-    """Per-batch records and rejects from the stream's observed metrics, one
-    replay file (one date) per micro-batch; a row per batch, not per record."""
+    """Records and rejects from the metrics table that the run appends to, a
+    row per micro-batch, not per record."""
     topic, base = _replay_topic(spark, sf_dir, CORRUPT_EVERY), workspace(spark, "metrics")
-    n_files = len(read_replay(spark, topic).inputFiles())
-    old = spark.conf.get(PROGRESS_RETENTION)
-    spark.conf.set(PROGRESS_RETENTION, str(max(int(old), n_files + 10)))
-    try:
-        q = _ingest(spark, topic, f"{base}/landed", f"{base}/ck", max_files_per_trigger=1)
-    finally:
-        spark.conf.set(PROGRESS_RETENTION, old)
-    rows = [(int(m["batch_id"]), int(m["records"]), int(m["rejects"]), str(m["first_date"]))
-            for m in ingest_metrics(q, first_batch=0)]
-    per_batch = spark.createDataFrame(rows, _METRICS_SCHEMA)
-    return per_batch.groupBy(F.col("first_date").alias("event_date")).agg(
-        F.sum("records").alias("records"), F.sum("rejects").alias("rejects")
-    )
+    log = MetricsLog(spark, f"{base}/metrics")
+    log.close(_ingest(spark, topic, f"{base}/landed", f"{base}/ck"))
+    return read_metrics(spark, f"{base}/metrics").agg(F.sum("records").alias("records"), F.sum("rejects").alias("rejects"))
 
 
 # --- catalog services (R-tier) -----------------------------------------------
@@ -287,99 +326,149 @@ def partition_sync(spark, sf_dir):
     table = unique_name("landed_events")
     register_landed(spark, table, root)
     sync_partitions(spark, table)
-    return spark.table(table).groupBy(*PARTITION_KEYS).agg(F.count(F.lit(1)).alias("n"))
+    out = _settled(spark.table(table).groupBy(*PARTITION_KEYS).agg(F.count(F.lit(1)).alias("n")), "synced")
+    drop_table(spark, table)
+    return out
 
 
 @query("partition_inventory", Q.with_fixture("""
-SELECT event_date, event_hour, count(*) AS rows, CAST(1 AS BIGINT) AS files,
+SELECT event_date, event_hour, 2 * count(*) AS rows, CAST(2 AS BIGINT) AS files,
        min(event_time) AS min_time, max(event_time) AS max_time
 FROM fx GROUP BY event_date, event_hour"""))
 def partition_inventory_q(spark, sf_dir):
-    return partition_inventory(read_landed(spark, _landed_table(spark, sf_dir)))
+    """Of a table landed twice: two files in every partition."""
+    root = _landed(spark, sf_dir, "inventory")
+    append_events(with_event_hour(event_fixture(spark, sf_dir)), root)
+    return partition_inventory(read_landed(spark, root))
 
 
-_STAT_COLUMNS = [
-    ("event_id", "bigint", "long"), ("event_date", "string", "string"), ("event_time", "string", "string"),
-    ("event_type", "string", "string"), ("product_id", "bigint", "long"), ("category_id", "bigint", "long"),
-    ("category_code", "string", "string"), ("brand", "string", "string"), ("price", "float", "double"),
-    ("user_id", "bigint", "long"), ("user_session", "string", "string"), ("event_hour", "int", "long"),
-]
+# DuckDB names of the statistics of a column, by kind of type.
+_KINDS = {"string": "string", "bigint": "long", "int": "long", "float": "double", "double": "double",
+          "decimal(12,2)": "decimal", "date": "date", "timestamp_ntz": "time"}
 
 
-def _stats_sql(keys=()) -> str:
+def _stats_sql(columns, source, keys=()) -> str:
+    """``columns``: (name, Spark type); ``source``: table, or WITH clause whose last name is fx."""
     parts = []
     key_sel = "".join(f"{k}, " for k in keys)
     group = f" GROUP BY {', '.join(keys)}" if keys else ""
-    for name, stype, kind in _STAT_COLUMNS:
+    for name, stype in columns:
         if name in keys:
             continue
-        nb, nd = "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)"
-        long_lo = f"CAST(min({name}) AS BIGINT)" if kind == "long" else nb
-        long_hi = f"CAST(max({name}) AS BIGINT)" if kind == "long" else nb
-        dbl_lo = f"CAST(min({name}) AS DOUBLE)" if kind == "double" else nd
-        dbl_hi = f"CAST(max({name}) AS DOUBLE)" if kind == "double" else nd
-        avg_len = f"round(avg(length({name})), 6)" if kind == "string" else nd
-        max_len = f"CAST(max(length({name})) AS BIGINT)" if kind == "string" else nb
+        kind = _KINDS[stype]
+        number = {"long": "CAST({f}({c}) AS BIGINT)", "date": "CAST(datediff('day', DATE '1970-01-01', {f}({c})) AS BIGINT)",
+                  "time": "CAST(epoch({f}({c})) AS BIGINT)"}.get(kind)
+        low_high = []
+        for f in ("min", "max"):
+            low_high.append({
+                "long": number.format(f=f, c=name) if number else "CAST(NULL AS BIGINT)",
+                "double": f"CAST({f}({name}) AS DOUBLE)" if kind == "double" else "CAST(NULL AS DOUBLE)",
+                "decimal": f"CAST({f}({name}) AS VARCHAR)" if kind == "decimal" else "CAST(NULL AS VARCHAR)"})
+        lo, hi = low_high
+        text = kind == "string"
         parts.append(
             f"SELECT {key_sel}'{name}' AS column_name, '{stype}' AS column_type, "
-            f"{long_lo} AS long_low, {long_hi} AS long_high, {dbl_lo} AS double_low, {dbl_hi} AS double_high, "
-            f"count(*) - count({name}) AS num_nulls, count(DISTINCT {name}) AS num_distincts, "
-            f"{avg_len} AS avg_col_len, {max_len} AS max_col_len, {nb} AS num_trues, {nb} AS num_falses "
-            f"FROM fx{group}"
+            f"{lo['long']} AS long_low, {hi['long']} AS long_high, {lo['double']} AS double_low, {hi['double']} AS double_high, "
+            f"{lo['decimal']} AS decimal_low, {hi['decimal']} AS decimal_high, count(*) - count({name}) AS num_nulls, "
+            + (f"count(DISTINCT {name})" if name in EXACT_DISTINCT else "CAST(NULL AS BIGINT)") + " AS num_distincts, "
+            + (f"round(avg(length({name})), 6)" if text else "CAST(NULL AS DOUBLE)") + " AS avg_col_len, "
+            + (f"CAST(max(length({name})) AS BIGINT)" if text else "CAST(NULL AS BIGINT)") + " AS max_col_len, "
+            f"CAST(NULL AS BIGINT) AS num_trues, CAST(NULL AS BIGINT) AS num_falses FROM {source}{group}"
         )
-    return Q.with_fixture("\nUNION ALL\n".join(parts))
+    return "\nUNION ALL\n".join(parts)
+
+
+_EVENT_STATS = [("event_id", "bigint"), *[(n, t.simpleString()) for n, _, _, t in EVENT_FIELDS], ("event_hour", "int")]
+_ORDER_STATS = [("o_orderkey", "bigint"), ("o_totalprice", "decimal(12,2)"), ("o_orderdate", "date"), ("o_orderpriority", "string")]
+_LINE_STATS = [("l_orderkey", "bigint"), ("l_quantity", "double"), ("l_shipdate", "timestamp_ntz")]
+_ORDERS_CTE = "(SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(12, 2)) AS o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM orders)"
 
 
-def _stats_input(spark, sf_dir):
-    return with_event_hour(event_fixture(spark, sf_dir))
+def _exact_only(stats: DataFrame) -> DataFrame:
+    """Approximate counts are left out of what is compared; tests hold them to 5 %."""
+    exact = F.col("column_name").isin(*EXACT_DISTINCT)
+    return stats.withColumn("num_distincts", F.when(exact, F.col("num_distincts")))
 
 
-@query("column_stats", _stats_sql())
+@query("column_stats", Q.with_fixture(
+    _stats_sql(_EVENT_STATS, "fx") + "\nUNION ALL\n" + _stats_sql(_ORDER_STATS, _ORDERS_CTE) + "\nUNION ALL\n" + _stats_sql(_LINE_STATS, "lineitem")))
 def column_stats_q(spark, sf_dir):
-    return column_stats(_stats_input(spark, sf_dir), exact=True)
+    """Events, and orders and line items for their decimals, dates and timestamps."""
+    events = with_event_hour(event_fixture(spark, sf_dir))
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"), F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_orderpriority")
+    lines = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_shipdate")
+    stats = [column_stats(df, exact=EXACT_DISTINCT) for df in (events, orders, lines)]
+    return _exact_only(functools.reduce(DataFrame.unionByName, stats))
 
 
-@query("partition_stats", _stats_sql(("event_date",)))
+@query("partition_stats", Q.with_fixture(_stats_sql([(n, t) for n, t in _EVENT_STATS if n not in PARTITION_KEYS], "fx", PARTITION_KEYS)))
 def partition_stats_q(spark, sf_dir):
-    return column_stats(_stats_input(spark, sf_dir), keys=("event_date",), exact=True)
+    """Per full partition (date and hour) of the landed table."""
+    landed = read_landed(spark, _landed_table(spark, sf_dir), schema=LANDED_WITH_ID)
+    return _exact_only(column_stats(landed, keys=PARTITION_KEYS, exact=EXACT_DISTINCT))
+
+
+def _scattered(spark, sf_dir, root: str) -> float:
+    """Lands the events as frequent small appends do, every task writing into
+    every hour it holds; returns half the mean partition size in MB."""
+    rows = with_event_hour(event_fixture(spark, sf_dir))
+    salt = F.col("event_id") % 3
+    rows.repartition(*PARTITION_KEYS, salt).write.partitionBy(*PARTITION_KEYS).parquet(root)
+    return partition_sizes(spark, root).agg(F.avg("bytes")).first()[0] / 2 / 2**20
 
 
 @query("compact", Q.with_fixture(f"SELECT {Q.LANDED_COLS} FROM fx"))
 def compact_q(spark, sf_dir):
-    """Small-file input (every task writes into every hour it holds, as
-    frequent appends do), compacted into a new root."""
+    """Small files compacted into a new root, to files of half the mean
+    partition size: partitions are split over several tasks."""
     base = workspace(spark, "compact")
-    rows = with_event_hour(event_fixture(spark, sf_dir))
-    # two files per partition, written by many tasks
-    salt = F.col("event_id") % 2
-    rows.repartition(16, *PARTITION_KEYS, salt).write.partitionBy(*PARTITION_KEYS).parquet(f"{base}/src")
-    compact(spark, f"{base}/src", f"{base}/dst", target_mb=1, schema=LANDED_WITH_ID)
+    target = _scattered(spark, sf_dir, f"{base}/src")
+    compact(spark, f"{base}/src", f"{base}/dst", target_mb=target, schema=LANDED_WITH_ID)
     return read_landed(spark, f"{base}/dst", schema=LANDED_WITH_ID)
 
 
-@query("retention", Q.with_fixture(f"""
-SELECT {Q.LANDED_COLS} FROM fx
-WHERE CAST(ts AS DATE) > (SELECT max(CAST(ts AS DATE)) FROM events) - INTERVAL {RETAIN_DAYS} DAY"""))
+@query("compact_table", Q.with_fixture(f"SELECT {Q.LANDED_COLS} FROM fx"))
+def compact_table_q(spark, sf_dir):
+    """The closed dates of a catalog table compacted in place, partition by partition."""
+    base, table = workspace(spark, "compact-table"), unique_name("landed_events")
+    target = _scattered(spark, sf_dir, f"{base}/src")
+    register_landed(spark, table, f"{base}/src", schema=LANDED_WITH_ID)
+    sync_partitions(spark, table)
+    compact_table(spark, table, f"{base}/staging", where=F.col("event_date") < ARRIVAL_SPLIT[:10].replace("-", ""), target_mb=4 * target)
+    out = _settled(spark.table(table), "compacted")
+    drop_table(spark, table)
+    return out
+
+
+_RETENTION_SQL = Q.with_fixture(f"""
+SELECT {Q.LANDED_COLS.replace("event_date", "CASE WHEN event_id % " + str(UNDATED_EVERY) + " <> 0 THEN event_date END AS event_date")} FROM fx
+WHERE event_id % {UNDATED_EVERY} = 0
+   OR CAST(ts AS DATE) >= (SELECT max(CAST(ts AS DATE)) FROM fx WHERE event_id % {UNDATED_EVERY} <> 0) - INTERVAL {RETAIN_DAYS} DAY""")
+
+
+@query("retention", _RETENTION_SQL)
 def retention_q(spark, sf_dir):
-    root = _landed_table(spark, sf_dir)
+    """Expired dates go; rows without a readable date stay."""
+    root = _undated_table(spark, sf_dir)
     dst = workspace(spark, "retained")
-    kept = retain(read_landed(spark, root, schema=LANDED_WITH_ID), "event_date", RETAIN_DAYS)
+    kept = retain(read_landed(spark, root, schema=LANDED_WITH_ID), "event_date", RETAIN_DAYS, dates=list_files(spark, root))
     append_events(kept, dst)
     return read_landed(spark, dst, schema=LANDED_WITH_ID)
 
 
-@query("retention_catalog", Q.with_fixture(f"""
-SELECT {Q.LANDED_COLS} FROM fx
-WHERE CAST(ts AS DATE) > (SELECT max(CAST(ts AS DATE)) FROM events) - INTERVAL {RETAIN_DAYS} DAY"""))
+@query("retention_catalog", _RETENTION_SQL)
 def retention_catalog(spark, sf_dir):
-    """Retention on a catalog table: expired partitions are dropped from the
-    table's metadata; the table then shows the newest dates only."""
-    root = _landed_table(spark, sf_dir)  # external table: dropping keeps the files
+    """The same rule on a catalog table: expired partitions are dropped from
+    the table's metadata."""
+    root = _undated_table(spark, sf_dir)  # external table: dropping keeps the files
     table = unique_name("landed_events")
     register_landed(spark, table, root, schema=LANDED_WITH_ID)
     sync_partitions(spark, table)
     drop_expired_partitions(spark, table, RETAIN_DAYS)
-    return spark.table(table)
+    out = _settled(spark.table(table), "retained-catalog")
+    drop_table(spark, table)
+    return out
 
 
 @query("pk_check", """
@@ -392,11 +481,12 @@ def pk_check(spark, sf_dir):
 
 
 @query("fk_check", """
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority
 FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""")
 def fk_check(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate"), "o_orderpriority")
     return orphans(o, read_table(spark, sf_dir, "lineitem"), "o_orderkey", "l_orderkey")
 
 
@@ -407,21 +497,29 @@ SELECT o.o_orderkey, o.o_custkey, count(*) AS n_lines,
 FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
 GROUP BY o.o_orderkey, o.o_custkey""")
 def bucket_join(spark, sf_dir):
-    base = workspace(spark, "buckets")
+    """Two bucketed tables joined bucket to bucket: no exchange on either side."""
     o_t, l_t = unique_name("orders_b"), unique_name("lineitem_b")
+    out = _settled(bucketed_revenue(spark, sf_dir, o_t, l_t), "bucket-join")
+    drop_table(spark, o_t)
+    drop_table(spark, l_t)
+    return out
+
+
+def bucketed_revenue(spark: SparkSession, sf_dir: str, orders_table: str, lines_table: str) -> DataFrame:
+    base, n = workspace(spark, "buckets"), bucket_count(spark)
     orders = write_bucketed(
-        read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), o_t, BUCKETS, "o_orderkey",
+        read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), orders_table, n, "o_orderkey",
         f"{base}/orders")
     items = write_bucketed(
         read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice", "l_discount"),
-        l_t, BUCKETS, "l_orderkey", f"{base}/lineitem")
+        lines_table, n, "l_orderkey", f"{base}/lineitem")
     # Aggregate lineitem per order inside its buckets first (no shuffle),
     # then join bucket to bucket: one row per order meets one row per order.
     per_order = items.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.sum(_money("l_extendedprice") * (1 - _money("l_discount"))).alias("rev"),
     )
-    j = orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "inner")
+    j = orders.hint("merge").join(per_order, orders.o_orderkey == per_order.l_orderkey, "inner")
     return j.select("o_orderkey", "o_custkey", "n_lines", F.round("rev", 2).cast("double").alias("revenue"))
 
 
@@ -437,6 +535,14 @@ def skew(spark, sf_dir):
     return skewed_values(read_table(spark, sf_dir, "events"), "event_type", SKEW_SHARE)
 
 
+@query("skew_pairs", f"""
+SELECT l_returnflag, l_linestatus, count(*) AS n, count(*) / (SELECT count(*) FROM lineitem) AS share
+FROM lineitem GROUP BY l_returnflag, l_linestatus HAVING count(*) / (SELECT count(*) FROM lineitem) >= {PAIR_SHARE}""")
+def skew_pairs(spark, sf_dir):
+    """Combinations of two columns."""
+    return skewed_values(read_table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], PAIR_SHARE)
+
+
 @query("json_mapping", """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS product_id,
        json_extract_string(props, '$.k') AS k_text, CAST(NULL AS INTEGER) AS missing
@@ -450,8 +556,14 @@ def json_mapping(spark, sf_dir):
 
 def _sql(text):
     def run(spark, sf_dir):
-        register_catalog(spark, sf_dir, ("region", "nation", "customer", "supplier", "orders", "lineitem"))
-        return spark.sql(text)
+        # Views of this call alone: the caller may have views of the tables' names.
+        tables, prefix = ("region", "nation", "customer", "supplier", "orders", "lineitem"), f"t_{uuid.uuid4().hex[:10]}_"
+        register_catalog(spark, sf_dir, tables, prefix)
+        ctes = ", ".join(f"{t} AS (SELECT * FROM {prefix}{t})" for t in tables)
+        out = spark.sql(f"WITH {ctes}\n{text}")
+        for t in tables:  # the plan holds the tables; the names can go
+            spark.catalog.dropTempView(prefix + t)
+        return out
     return run
 
 
@@ -461,12 +573,16 @@ for _name, _text in (("sql_s1", Q.S1), ("sql_s2", Q.S2), ("sql_s3", Q.S3), ("sql
 
 @query("sql_s5", Q.with_fixture(Q.S5_TEMPLATE.format(table="fx")))
 def sql_s5(spark, sf_dir):
-    """Landed-table report through a saved view over the landed root."""
-    pin_utc(spark)
+    """Landed-table report through a view stored in the catalog, over a
+    registered external table."""
     root = _landed_table(spark, sf_dir)
-    read_landed(spark, root).createOrReplaceTempView("landed_events")
-    view = unique_name("landed_report")
-    return save_view(spark, view, Q.S5_TEMPLATE.format(table="landed_events"))
+    table, view = unique_name("landed_events"), unique_name("landed_report")
+    register_landed(spark, table, root)
+    sync_partitions(spark, table)
+    out = _settled(save_view(spark, view, Q.S5_TEMPLATE.format(table=table), stored=True), "report")
+    drop_view(spark, view)
+    drop_table(spark, table)
+    return out
 
 
 # --- the minimum slice (entry) -----------------------------------------------

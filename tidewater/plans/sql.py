@@ -35,15 +35,32 @@ def with_fixture(body: str) -> str:
     return f"WITH {FIXTURE_CTE}\n{body}"
 
 
-S1 = """
+# Money is summed as decimals: the sum doesn't depend on the order of addition.
+_PRICE = "CAST({t}l_extendedprice AS DECIMAL(12, 2))"
+_DISC = "CAST({t}l_discount AS DECIMAL(4, 2))"
+
+
+def _net(t: str = "") -> str:
+    return f"{_PRICE.format(t=t)} * (1 - {_DISC.format(t=t)})"
+
+
+def _sum(expression: str, digits: int = 2) -> str:
+    return f"round(CAST(sum({expression}) AS DOUBLE), {digits})"
+
+
+def _avg(column: str, digits: int) -> str:
+    return f"round(CAST(sum(CAST({column} AS DECIMAL(12, 2))) AS DOUBLE) / count({column}), {digits})"
+
+
+S1 = f"""
 SELECT l_returnflag, l_linestatus,
-       round(sum(l_quantity), 2) AS sum_qty,
-       round(sum(l_extendedprice), 2) AS sum_base_price,
-       round(sum(l_extendedprice * (1 - l_discount)), 2) AS sum_disc_price,
-       round(sum(l_extendedprice * (1 - l_discount) * (1 + l_tax)), 2) AS sum_charge,
-       round(avg(l_quantity), 4) AS avg_qty,
-       round(avg(l_extendedprice), 4) AS avg_price,
-       round(avg(l_discount), 6) AS avg_disc,
+       {_sum("CAST(l_quantity AS DECIMAL(12, 2))")} AS sum_qty,
+       {_sum(_PRICE.format(t=""))} AS sum_base_price,
+       {_sum(_net())} AS sum_disc_price,
+       {_sum(_net() + " * (1 + CAST(l_tax AS DECIMAL(4, 2)))")} AS sum_charge,
+       {_avg("l_quantity", 4)} AS avg_qty,
+       {_avg("l_extendedprice", 4)} AS avg_price,
+       {_avg("l_discount", 6)} AS avg_disc,
        count(*) AS count_order
 FROM lineitem
 WHERE l_shipdate <= DATE '1998-09-02'
@@ -51,9 +68,9 @@ GROUP BY l_returnflag, l_linestatus
 ORDER BY l_returnflag, l_linestatus
 """
 
-S2 = """
+S2 = f"""
 SELECT l.l_orderkey,
-       round(sum(l.l_extendedprice * (1 - l.l_discount)), 2) AS revenue,
+       {_sum(_net("l."))} AS revenue,
        CAST(o.o_orderdate AS DATE) AS orderdate,
        o.o_orderpriority
 FROM customer c
@@ -67,9 +84,9 @@ ORDER BY revenue DESC, orderdate, l_orderkey
 LIMIT 10
 """
 
-S3 = """
+S3 = f"""
 SELECT n.n_name,
-       round(sum(l.l_extendedprice * (1 - l.l_discount)), 2) AS revenue,
+       {_sum(_net("l."))} AS revenue,
        count(*) AS n_lines
 FROM customer c
 JOIN orders o ON c.c_custkey = o.o_custkey
@@ -84,8 +101,8 @@ GROUP BY n.n_name
 ORDER BY revenue DESC
 """
 
-S4 = """
-SELECT round(sum(l_extendedprice * l_discount), 2) AS revenue,
+S4 = f"""
+SELECT {_sum(_PRICE.format(t="") + " * " + _DISC.format(t=""))} AS revenue,
        count(*) AS n_rows
 FROM lineitem
 WHERE l_shipdate >= DATE '1996-01-01'
@@ -99,7 +116,7 @@ S5_TEMPLATE = """
 SELECT event_date, event_hour, event_type,
        count(*) AS events,
        count(DISTINCT user_id) AS users,
-       round(sum(CAST(price AS DOUBLE)), 2) AS revenue
+       round(CAST(sum(CAST(CAST(price AS DOUBLE) AS DECIMAL(18, 6))) AS DOUBLE), 2) AS revenue
 FROM {table}
 GROUP BY event_date, event_hour, event_type
 """

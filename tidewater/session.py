@@ -2,14 +2,17 @@
 
 Jobs never pick a machine-local folder on their own: every file a job
 writes for itself (landed roots, checkpoints, bucketed tables) goes under
-the shared folder the cluster names in ``spark.checkpoint.dir``. Only when
-that is unset (local tests) do we create one.
+the shared folder the cluster names in ``spark.checkpoint.dir``. Only a
+local session (one machine, as in tests) gets a temporary one where that is
+unset; on a cluster an unset folder is an error.
 """
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -88,7 +91,8 @@ def pin_utc(spark: SparkSession) -> None:
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Set only where it is unset, as in tests.
+    Where it is unset, a local session gets a temporary one; any other
+    session raises, since its executors don't share the driver's disk.
     """
     try:
         sc = spark.sparkContext
@@ -99,6 +103,9 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     root = tempfile.mkdtemp(prefix="tidewater-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(root)
@@ -113,3 +120,36 @@ def workspace(spark: SparkSession, name: str) -> str:
 
 def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+def package_zip() -> str:
+    """This package as a zip in the driver's temporary folder."""
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tidewater-zip-"), "tidewater.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the session's Python workers, once per
+    application: their import path doesn't hold the driver's folder."""
+    app = spark.conf.get("spark.app.id", "") or str(id(spark))
+    if app in _SHIPPED:
+        return
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect has no SparkContext
+        sc = None
+    if sc is not None:
+        sc.addPyFile(package_zip())
+    else:
+        spark.addArtifacts(package_zip(), pyfile=True)
+    _SHIPPED.add(app)

@@ -12,7 +12,7 @@ replay kind the start offsets are computed once, at the first start, from
 the files present then, and stored beside the query checkpoint, so a
 restart on the same checkpoint continues instead of recomputing them.
 A JSON/dict of explicit offsets ``{topic: {partition: offset}}`` is also
-accepted (-2 means earliest).
+accepted (-2 means earliest, -1 latest).
 """
 
 from __future__ import annotations
@@ -55,16 +55,22 @@ def write_replay(envelope: DataFrame, root: str, chunk: str | None = None) -> No
 
 
 def publish_events(envelope: DataFrame, brokers: str, topic: str | None = None) -> None:
-    """Publish envelope rows (key, value[, partition]) to a Kafka topic with
-    the batch Kafka sink (needs the spark-sql-kafka connector). Without
-    ``topic`` each row's own ``topic`` column is used."""
-    cols = ["key", "value"] + (["topic"] if topic is None else [])
+    """Publish envelope rows (key, value, partition) to a Kafka topic with
+    the batch Kafka sink (needs the spark-sql-kafka connector). A row with a
+    null partition is placed by the sink's partitioner. Without ``topic``
+    each row's own ``topic`` column is used."""
+    cols = publish_columns(topic)
     w = envelope.select(*cols).write.format("kafka").option("kafka.bootstrap.servers", brokers)
     if topic is not None:
         w = w.option("topic", topic)
     w.save()
 
 
+def publish_columns(topic: str | None = None) -> list[str]:
+    """The columns the Kafka sink gets."""
+    return ["key", "value", "partition"] + (["topic"] if topic is None else [])
+
+
 def _read_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     try:
         # Resolving a file source checks that the path exists.
@@ -73,13 +79,23 @@ def _read_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return None
 
 
-def _explicit_starts(spark: SparkSession, starting) -> DataFrame:
+def _ends(spark: SparkSession, path: str) -> DataFrame:
+    """Per topic-partition, the offset after the last record present."""
+    existing = _read_or_none(spark, path, ENVELOPE_SCHEMA)
+    if existing is None:
+        return spark.createDataFrame([], START_SCHEMA)
+    return existing.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("start_offset"))
+
+
+def _explicit_starts(spark: SparkSession, path: str, starting) -> DataFrame:
     spec = json.loads(starting) if isinstance(starting, str) else starting
-    rows = []
-    for topic, parts in spec.items():
-        for p, off in parts.items():
-            rows.append((topic, int(p), 0 if int(off) == -2 else int(off)))
-    return spark.createDataFrame(rows, START_SCHEMA)
+    rows = [(topic, int(p), int(off)) for topic, parts in spec.items() for p, off in parts.items()]
+    given = spark.createDataFrame(rows, START_SCHEMA)
+    ends = _ends(spark, path).withColumnRenamed("start_offset", "_end")
+    at = F.col("start_offset")
+    return given.join(ends, ["topic", "partition"], "left").select(
+        "topic", "partition",
+        F.when(at == -2, F.lit(0)).when(at == -1, F.coalesce("_end", F.lit(0))).otherwise(at).cast("long").alias("start_offset"))
 
 
 def start_positions(spark: SparkSession, path: str, checkpoint: str, starting) -> DataFrame:
@@ -92,16 +108,7 @@ def start_positions(spark: SparkSession, path: str, checkpoint: str, starting) -
     saved = _read_or_none(spark, saved_path, START_SCHEMA)
     if saved is not None:
         return saved
-    if starting == "latest":
-        existing = _read_or_none(spark, path, ENVELOPE_SCHEMA)
-        if existing is None:
-            starts = spark.createDataFrame([], START_SCHEMA)
-        else:
-            starts = existing.groupBy("topic", "partition").agg(
-                (F.max("offset") + 1).alias("start_offset")
-            )
-    else:
-        starts = _explicit_starts(spark, starting)
+    starts = _ends(spark, path) if starting == "latest" else _explicit_starts(spark, path, starting)
     starts.coalesce(1).write.mode("errorifexists").parquet(saved_path)
     return spark.read.schema(START_SCHEMA).parquet(saved_path)
 

@@ -23,11 +23,16 @@ def register_catalog(spark: SparkSession, sf_dir: str, tables=TABLES, prefix: st
     return names
 
 
-def save_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
-    """A saved view is stored SQL text; reading it re-plans the text."""
-    spark.sql(f"CREATE OR REPLACE TEMP VIEW {name} AS {sql}")
+def save_view(spark: SparkSession, name: str, sql: str, stored: bool = False) -> DataFrame:
+    """A saved view is SQL text; reading it plans the text again.
+
+    By default it lives in the session; ``stored`` keeps it in the catalog
+    (with a metastore, for every session), over tables or files, not over
+    session views. ``drop_view`` removes it."""
+    kind = "VIEW" if stored else "TEMP VIEW"
+    spark.sql(f"CREATE OR REPLACE {kind} {name} AS {sql}")
     return spark.table(name)
 
 
-def run_sql(spark: SparkSession, sql: str) -> DataFrame:
-    return spark.sql(sql)
+def drop_view(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP VIEW IF EXISTS {name}")
