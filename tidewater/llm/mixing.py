@@ -29,6 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.llm.common import WORD, text_of, written
 from tidewater.llm.words import mix
@@ -164,8 +165,9 @@ def draw(docs: DataFrame, shards: int = 64, seed: int = 7, with_text: bool = Fal
             for i in range(0, whole.num_rows, 2000):
                 yield _pieces(whole.slice(i, 2000), number, column, goal, cuts, seed)
 
-    schema = (("row " + docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r")).schema["r"].dataType.simpleString() + ", ")
-              if with_text else "") + f"doc_id {dict(docs.dtypes)['doc_id']}, size long, source_size long, target double, taken long, pieces {PIECES}"
+    schema = T.StructType.fromDDL(f"doc_id {dict(docs.dtypes)['doc_id']}, size long, source_size long, target double, taken long, pieces {PIECES}")
+    if with_text:
+        schema = T.StructType([rows.schema["row"], *schema.fields])
     return placed.mapInArrow(deal, schema)
 
 
