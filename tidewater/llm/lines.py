@@ -25,7 +25,7 @@ result; columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import text_of, written
@@ -75,36 +75,41 @@ def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     line = F.col("line")
     texts = (docs.select(F.explode(_lines()).alias("line")).where(F.char_length(line) >= min_chars).select(_id(line).alias("id"), "line")
              .join(wanted, "id", "left_semi").groupBy("id").agg(F.min("line").alias("line")).withColumn("n", F.char_length("line")))
-    known = written(texts.join(first.select("id", "place"), "id"), "line-texts")
+    # ``ord`` numbers them in the order of their places, over all partitions.
+    known = written(texts.join(first.select("id", "place"), "id").repartitionByRange("place").sortWithinPartitions("place")
+                    .withColumn("ord", F.monotonically_increasing_id()).select("ord", "id", "line", "n"), "line-texts")
 
     rest = F.when(F.col("head"), F.expr("substring(line, m + 1, n - m)")).otherwise(F.expr("substring(line, 1, n - m)"))
-    halves = known.join(able, "id").select("id", "place", "key", rest.alias("rest"), (F.col("n") - F.col("m")).alias("size"))
+    halves = known.join(able, "id").select("ord", "key", rest.alias("rest"), (F.col("n") - F.col("m")).alias("size"))
     cuts = F.transform(F.sequence(F.lit(0), F.col("size")), lambda i: F.struct(
         i.alias("at"),
         F.xxhash64("key", F.when(i == 0, F.col("rest")).otherwise(F.concat(
             F.substring(F.col("rest"), F.lit(1), i - 1), F.substring(F.col("rest"), i + 1, F.col("size"))))).alias("v")))
-    variants = written(halves.select("id", "place", F.explode(cuts).alias("c")).select("id", "place", "c.at", "c.v"), "variants")
+    # Variants that two lines share. A variant has at most as many lines as it
+    # has places and the script has signs, however long the table is.
+    alike = Window.partitionBy("v")
+    variants = written(
+        halves.select("ord", F.explode(cuts).alias("c")).select("ord", "c.at", "c.v")
+        .select("*", F.min("ord").over(alike).alias("lo"), F.max("ord").over(alike).alias("hi"))
+        .where("lo <> hi").drop("lo", "hi"), "variants")
 
-    one = F.struct("place", "id").alias("one")
     # Equal without the character at the same position: the earliest of them.
-    peers = variants.where("at > 0").groupBy("v", "at").agg(F.min(one).alias("one"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    same = variants.join(peers, ["v", "at"]).where(F.col("one.id") != F.col("id")).select("id", F.col("one.id").alias("by"))
+    peers = variants.where("at > 0").groupBy("v", "at").agg(F.min("ord").alias("by"))
+    same = variants.join(peers, ["v", "at"]).where("by < ord").select("ord", "by")
     # A whole half and the halves that become it by one deletion.
-    whole = variants.where("at = 0").select("v", F.col("id").alias("wid"), F.col("place").alias("wplace")).distinct()
-    longer = variants.where("at > 0").join(whole, "v").where(F.col("id") != F.col("wid"))
-    down = longer.where(F.col("wplace") < F.col("place")).select("id", F.col("wid").alias("by"))
-    up = longer.groupBy("v", "wid", "wplace").agg(F.min(one).alias("one")).where(F.col("one.place") < F.col("wplace")).select(
-        F.col("wid").alias("id"), F.col("one.id").alias("by"))
+    whole = variants.where("at = 0").select("v", F.col("ord").alias("whole")).distinct()
+    longer = variants.where("at > 0").join(whole, "v")
+    down = longer.where("whole < ord").select("ord", F.col("whole").alias("by"))
+    up = longer.groupBy("v", "whole").agg(F.min("ord").alias("by")).where("by < whole").select(F.col("whole").alias("ord"), "by")
     pairs = same.unionByName(down).unionByName(up).distinct()
 
-    mine = known.select("id", F.col("line").alias("a"), "place")
-    other = known.select(F.col("id").alias("by"), F.col("line").alias("b"), F.col("place").alias("earlier"))
-    links = pairs.join(mine, "id").join(other, "by").where((F.col("earlier") < F.col("place")) & (F.levenshtein("a", "b", 1) >= 0))
-    near = links.groupBy("id").agg(F.min("earlier").alias("earlier"))
+    mine = known.select("ord", F.col("line").alias("a"), "id")
+    other = known.select(F.col("ord").alias("by"), F.col("line").alias("b"))
+    near = pairs.join(mine, "ord").join(other, "by").where(F.levenshtein("a", "b", 1) >= 0).select("id").distinct()
 
     # Lines to drop: all of a line with an earlier neighbour, and all copies but the first.
-    hit = (first.join(near, "id", "left").where("copies > 1 or earlier is not null")
-           .select("id", F.when(F.col("earlier").isNull(), F.col("place")).alias("keep")))
+    hit = (first.join(near.withColumn("near", F.lit(True)), "id", "left").where("copies > 1 or near")
+           .select("id", F.when(F.col("near").isNull(), F.col("place")).alias("keep")))
     dropped = (at.select("id", "place").join(hit, "id").where(F.col("keep").isNull() | (F.col("keep") != F.col("place")))
                .groupBy(F.col("place.rid").alias("r")).agg(F.sort_array(F.collect_list("place.line_no")).alias("lines")))
     counted = rows.select("rid", "doc_id", "n_lines")
