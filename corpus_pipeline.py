@@ -7,36 +7,55 @@ kept; all but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm.common import written
+from tidewater.llm.common import small_batches, written
 from tidewater.llm.exact import drop_exact
 from tidewater.llm.mixing import mixed_documents
 from tidewater.llm.neardup import drop_near
 from tidewater.llm.packing import pack_documents
 from tidewater.llm.resample import keep_good
+from tidewater.session import ship_package
+
+
+def _prepared(stage):
+    """A stage that first sends the package to the workers and bounds their batches."""
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
 
 
+@_prepared
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Importance resampling towards the labelled good documents; what it doesn't draw goes."""
     return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@_prepared
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of equal texts stays."""
     return drop_exact(docs)
 
 
+@_prepared
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class stays."""
     return drop_near(docs)
 
 
+@_prepared
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights; a document may be cut, or come up to three times."""
     return mixed_documents(docs)
 
 
+@_prepared
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces in sequences."""
     return pack_documents(docs)

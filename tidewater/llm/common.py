@@ -24,6 +24,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most BATCH_ROWS rows in this session: texts are
+    long, and a worker holds a whole batch beside its work arrays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -33,7 +44,7 @@ def text_of(column: str = "text") -> F.Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = 2 << 20, max_rows: int = 1 << 20):
+def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = 1 << 19, max_rows: int = 1 << 20):
     """Sub-batches of at most ``max_bytes`` of text (or one row) and
     ``max_rows`` rows: numpy work arrays are many times the text."""
     for batch in batches:

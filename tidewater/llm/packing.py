@@ -46,7 +46,7 @@ _KINDS[0x30:0x3A] = 2
 _KINDS[0x41:0x5B] = _KINDS[0x61:0x7B] = _KINDS[0x80:] = 1
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
-_CACHE_ENTRIES = 500_000
+_CACHE_ENTRIES = 200_000
 
 
 class Encoder:

@@ -3,11 +3,13 @@ operator, with production parameters, to its whole table."""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import small_batches
 from tidewater.llm.exact import exact_groups
 from tidewater.llm.lines import near_lines
 from tidewater.llm.mixing import draw
@@ -25,7 +27,12 @@ _ORACLE: dict[str, str] = {}
 
 def query(name: str, oracle: str | None = None):
     def deco(fn):
-        _QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            small_batches(spark)
+            return fn(spark, sf_dir)
+
+        _QUERIES[name] = run
         if oracle:
             _ORACLE[name] = oracle
         return fn
