@@ -132,6 +132,22 @@ def test_line_dedup_of_repeated_rows_and_nothing(docs):
     assert near_lines(docs([])).count() == 0
 
 
+def test_line_dedup_of_equal_short_lines(docs):
+    rng = random.Random(3)
+    pool = ["Menu", "menu", "menus", "x", "漢", "y\r", "  y", "", " ", "a line of 19 letters", "a line that is long enough", "a line that is long enough!"]
+    texts = ["\n".join(rng.choice(pool) for _ in range(rng.randrange(9))) for _ in range(40)] + ["hot\nhot", None, "hot"]
+    want, seen = {}, set()
+    for d, t in enumerate(texts):
+        want[d] = []
+        for k, line in enumerate((t or "").split("\n")):
+            line = line.strip(" \t\r\x0b\x0c")
+            if line and (line in seen or len(line) >= 20 and any(len(x) >= 20 and _distance_1(line, x) for x in seen)):
+                want[d].append(k)
+            seen.add(line)
+    got = {r.doc_id: list(r.dropped) for r in near_lines(docs(texts, extra=CLASHES), equal_chars=1).collect()}
+    assert got == want and want[40] == [1] and want[42] == [0]
+
+
 def test_line_dedup_runs_no_python(spark, docs):
     import contextlib
     import io

@@ -2,9 +2,11 @@
 functions only.
 
 A line is what stands between line feeds, without white space at its ends.
-Lines of at least ``MIN_CHARS`` code points are compared; shorter ones stay.
-A line is dropped where an earlier one (by doc_id, then line number) is equal
-or one insertion, deletion or substitution away.
+A line is dropped where an earlier one (by doc_id, then line number) is equal,
+or one insertion, deletion or substitution away. Lines of at least
+``min_chars`` code points are compared by edits; equal ones meet from
+``equal_chars`` on, which is ``min_chars`` where it isn't given. With 1, equal
+lines of any length but 0 go; shorter lines and empty ones stay.
 
 Equal lines meet first, by fingerprint. Of two different lines one edit
 apart, either the first or the second halves are equal: half keys (two
@@ -53,15 +55,17 @@ def _half_keys(line: F.Column) -> F.Column:
         F.struct(F.xxhash64(F.lit(1), m, F.substring(line, n - m + 1, m)).alias("key"), m.alias("m"), F.lit(False).alias("head")))))
 
 
-def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS, equal_chars: int | None = None) -> DataFrame:
     """One row per document: doc_id, n_lines, n_dropped and the dropped line
     numbers (from 0, ascending)."""
+    equal_chars = min_chars if equal_chars is None else min(equal_chars, min_chars)
     long_enough = F.filter(
         F.transform(F.col("all"), lambda x, i: F.struct(i.alias("line_no"), x.alias("line"))),
-        lambda p: F.char_length(p["line"]) >= min_chars)
+        lambda p: F.char_length(p["line"]) >= equal_chars)
     split = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", _lines().alias("all"))
     rows = written(split.select("rid", "doc_id", F.size("all").cast("long").alias("n_lines"), F.transform(long_enough, lambda p: F.struct(
-        p["line_no"].alias("line_no"), _id(p["line"]).alias("id"), _half_keys(p["line"]).alias("keys"))).alias("lines")), "lines")
+        p["line_no"].alias("line_no"), _id(p["line"]).alias("id"),
+        F.when(F.char_length(p["line"]) >= min_chars, _half_keys(p["line"])).alias("keys"))).alias("lines")), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "l.line_no", "rid").alias("place")
     at = rows.select("rid", "doc_id", F.explode("lines").alias("l")).select("l.id", place, "l.keys")
 

@@ -161,3 +161,12 @@ FROM split s LEFT JOIN gone g ON g.doc_id = s.doc_id GROUP BY s.doc_id, s.x"""
 @query("op2_line_dedup", LINES_SQL)
 def op2(spark, sf_dir):
     return near_lines(_table(spark, sf_dir, "documents"))
+
+
+# The same with equal lines of any length: only the edits keep the floor.
+ALL_LINES_SQL = LINES_SQL.replace("WHERE length(line) >= 20 GROUP BY", "WHERE line <> '' GROUP BY").replace("AS m FROM f)", "AS m FROM f WHERE n >= 20)")
+
+
+@query("op2_line_dedup_all", ALL_LINES_SQL)
+def op2_all(spark, sf_dir):
+    return near_lines(_table(spark, sf_dir, "documents"), equal_chars=1)
