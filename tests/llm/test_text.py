@@ -16,7 +16,7 @@ import pytest
 from tests_llm_util import CLASHES, words
 from tidewater.llm import queries, trees
 from tidewater.llm.lines import near_lines
-from tidewater.llm.resample import cut_point, keep_good, resample
+from tidewater.llm.resample import BUCKETS, cut_point, keep_good, left_out, log_ratio, ngrams, resample
 from tidewater.llm.common import largest_cut
 from tidewater.llm.rules import MONOTONE, quality_rules, statistics
 from tidewater.llm.substring import COVER, PERIOD, remove_repeats
@@ -251,6 +251,28 @@ def test_resampling_separates_and_is_reproducible(spark, docs):
     assert resample(docs([]), labels).count() == 0
 
 
+def test_left_out_weights_are_those_of_the_other_rows():
+    texts = pa.array(["a b a b", "b c", "", "a b a b", "d"])
+    row, bucket, n = ngrams(texts)
+    target = np.bincount(bucket, minlength=BUCKETS).astype(float)
+    got = left_out(row, bucket, n, target, target * 3)
+    for k in range(n):
+        mine = bucket[row == k]
+        others = target - np.bincount(mine, minlength=BUCKETS)
+        assert got[k] == pytest.approx(log_ratio(others, target * 3)[mine].sum())
+
+
+def test_resampling_keeps_good_rows_without_labels(spark, docs):
+    rng = random.Random(10)
+    common, rare = [f"c{i}" for i in range(60)], [f"r{i}" for i in range(20_000)]
+    good = [" ".join(rng.choice(common if rng.random() < 0.3 else rare) for _ in range(rng.randrange(60, 240))) for _ in range(300)]
+    junk = [" ".join(rng.choice(rare) for _ in range(rng.randrange(60, 240))) for _ in range(150)]
+    labels = spark.createDataFrame([(i, int(i < 300)) for i in range(0, 450, 3)], "doc_id long, quality int")
+    kept = {r.doc_id: r.kept for r in resample(docs(good + junk), labels).collect()}
+    unseen = [kept[i] for i in range(300) if i % 3]
+    assert sum(unseen) >= 0.97 * len(unseen)
+
+
 # --- learned operators on the given tables -----------------------------------------
 
 def _labelled(spark, name):

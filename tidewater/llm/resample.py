@@ -10,7 +10,9 @@ documents without replacement in proportion to their weights.
 The raw counts are over all documents; the target counts over at most
 ``SAMPLE_ROWS`` labelled ones. Both models are tables of ``BUCKETS`` numbers.
 k is found on the labelled sample: as many as score above the point that
-keeps all but ``MISS`` of the good ones and the fewest others.
+keeps all but ``MISS`` of the good ones and the fewest others. For this a good
+row is weighed without its own counts in the target model, as one without a
+label is; counts of labelled copies of its text stay.
 
 Inputs: null text counts as empty (weight 0); null labels and ids in
 ``labels`` are ignored, a doc_id with several labels counts with its lowest;
@@ -75,12 +77,25 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return np.log(p_target) - np.log(p_raw)
 
 
-def weigh(docs: DataFrame, ratio: np.ndarray, seed: int, extra: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, row keys, log_weight, perturbed (log_weight plus Gumbel noise), and ``extra`` columns."""
+def left_out(row: np.ndarray, bucket: np.ndarray, n: int, target: np.ndarray, raw: np.ndarray) -> np.ndarray:
+    """The log weight of each row by the ratio of ``target`` less the row's own
+    counts (which it must hold; else they count as far as it does) to ``raw``."""
+    p_raw = (raw + SMOOTH) / (raw.sum() + SMOOTH * BUCKETS)
+    cell, own = np.unique(row * np.int64(BUCKETS) + bucket, return_counts=True)
+    at, total = cell % BUCKETS, np.maximum(target.sum() - np.bincount(row, minlength=n), 0)
+    each = own * (np.log(np.maximum(target[at] - own, 0) + SMOOTH * BUCKETS * p_raw[at]) - np.log(p_raw[at]))
+    return np.bincount(cell // BUCKETS, each, n) - np.bincount(row, minlength=n) * np.log(total + SMOOTH * BUCKETS)
+
+
+def weigh(docs: DataFrame, ratio: np.ndarray, seed: int, extra: tuple[str, ...] = (), counted: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """doc_id, row keys, log_weight, perturbed (log_weight plus Gumbel noise), and ``extra`` columns.
+    With ``counted``, the target and raw counts, rows of label 1 are weighed without their own."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches):
             row, bucket, n = ngrams(b.column("text"))
             weight = np.bincount(row, ratio[bucket], n).astype(np.float64)
+            if counted is not None:
+                weight = np.where(b.column("label").to_numpy(zero_copy_only=False) == 1, left_out(row, bucket, n, *counted), weight)
             u = uniform(mix((b.column("k1").to_numpy() + seed).view(np.uint64)))
             noise = -np.log(-np.log(np.clip(u, 1e-16, 1 - 1e-16)))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("k1"), b.column("k2"), pa.array(weight), pa.array(weight + noise), *[b.column(c) for c in extra]],
@@ -108,7 +123,7 @@ def _resample(docs: DataFrame, labels: DataFrame, seed: int) -> DataFrame:
     target = bucket_counts(sample.where("label = 1"))
     ratio = log_ratio(target, raw)
     scored = written(weigh(docs, ratio, seed), "weights")
-    known = weigh(sample, ratio, seed, ("label",)).limit(2 * SAMPLE_ROWS).toPandas()
+    known = weigh(sample, ratio, seed, ("label",), (target, raw)).limit(2 * SAMPLE_ROWS).toPandas()
     point = cut_point(known["perturbed"].to_numpy(float), known["label"].to_numpy() == 1)
     k = scored.where(F.col("perturbed") >= F.lit(float(point))).count()
     cut = largest_cut(scored, "perturbed", k)
