@@ -15,7 +15,7 @@ import pytest
 
 from tests_llm_util import CLASHES, words
 from tidewater.llm import queries, warc
-from tidewater.llm.mixing import draw, mixed_documents, permuted, shard_quotas, shard_rows, targets
+from tidewater.llm.mixing import draw, drawn_by_shard, mixed_documents, permuted, shard_quotas, shard_rows, targets
 from tidewater.llm.packing import Encoder, best_fit_decreasing, encoder, lower_bound, pack, pack_documents
 
 SF001 = "/root/testdata/sf0.001"
@@ -144,6 +144,21 @@ def test_mix_meets_its_targets(docs):
     assert sum(r.words for r in placed) == sum(taken.values()) and len({r.shard for r in placed}) > 30
 
 
+def test_mix_tells_the_words_of_each_shard(spark, docs):
+    _, _, df = _mix_table(docs)
+    rows, per_shard = drawn_by_shard(df).collect(), collections.Counter()
+    for r in rows:
+        assert [x.shard for x in r.shard_words] == sorted({x.shard for x in r.shard_words})
+        assert sum(x.words for x in r.shard_words) == r.taken
+        for x in r.shard_words:
+            per_shard[x.shard] += x.words
+    want = collections.Counter()
+    for r in shard_rows(df).collect():
+        want[r.shard] += r.words
+    assert per_shard == want and len(want) > 30
+    assert "shard_words" in queries.registered()["op3_mixing"](spark, SF001).columns
+
+
 def test_mixed_documents_hold_the_drawn_words(docs):
     texts, _, df = _mix_table(docs)
     pieces = {r.doc_id: r.pieces for r in draw(df).collect()}

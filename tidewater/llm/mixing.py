@@ -171,6 +171,14 @@ def draw(docs: DataFrame, shards: int = 64, seed: int = 7, with_text: bool = Fal
     return placed.mapInArrow(deal, schema)
 
 
+def drawn_by_shard(docs: DataFrame, shards: int = 64, seed: int = 7) -> DataFrame:
+    """``draw`` with the words that each shard takes of a document, by shard,
+    in place of its pieces: ``shard_words`` (shard, words)."""
+    total = lambda s: F.aggregate(F.filter("pieces", lambda p: p["shard"] == s), F.lit(0).cast("long"), lambda n, p: n + p["words"])
+    each = F.transform(F.array_sort(F.array_distinct("pieces.shard")), lambda s: F.struct(s.alias("shard"), total(s).alias("words")))
+    return draw(docs, shards, seed).withColumn("shard_words", each).drop("pieces")
+
+
 def _pieces(b: pa.RecordBatch, number: dict, column: dict, goal: np.ndarray, cuts: np.ndarray, seed: int) -> pa.RecordBatch:
     src = np.array([number[s] for s in b.column("source").to_pylist()], np.int64)
     size, at = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("size", "at"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import small_batches
 from tidewater.llm.exact import exact_groups
 from tidewater.llm.lines import near_lines
-from tidewater.llm.mixing import draw
+from tidewater.llm.mixing import drawn_by_shard
 from tidewater.llm.neardup import near_classes
 from tidewater.llm.packing import pack_documents
 from tidewater.llm.resample import resample
@@ -70,7 +70,7 @@ def op7(spark, sf_dir):
 
 @query("op3_mixing")
 def op3(spark, sf_dir):
-    return draw(_table(spark, sf_dir, "documents")).drop("pieces")
+    return drawn_by_shard(_table(spark, sf_dir, "documents"))
 
 
 # --- op8: packing ----------------------------------------------------------------
