@@ -256,6 +256,13 @@ def test_groups_exchange_until_few_sequences_are_left(spark, monkeypatch):
     assert bound <= _check_packing(rows, 100) <= 1.03 * bound + 1
 
 
+def test_packing_tells_the_gap_of_its_last_group(spark):
+    for lengths, gap in (([60, 60, 40, 40, 100], 0), ([43, 14, 22, 23, 47, 48], 1)):
+        rows = pack(spark.createDataFrame(list(enumerate(lengths)), "doc_id long, length long"), capacity=100).collect()
+        assert {r.gap for r in rows if r.length < 100} == {gap}
+        assert all(r.gap == 0 for r in rows if r.length == 100)
+
+
 # --- the registered queries and the pipeline ---------------------------------------
 
 @pytest.mark.parametrize("name", sorted(queries.oracles()))

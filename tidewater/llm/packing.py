@@ -8,6 +8,9 @@ and only the emptiest bin is reopened; a group with a gap reopens its
 emptiest bins. Groups exchange the pieces of reopened bins, ``FAN_IN`` groups
 at a time, and pack them again, until one group is left: a reopened share of
 at most 1/FAN_IN keeps every round's groups within the first round's size.
+The last group is packed once, with its bound. ``gap`` is the count of bins
+of a sequence's group above the bound, at the packing that placed it: 0 where
+that is certified optimal.
 
 Inputs: null text counts as empty (one piece, the end token); null or
 repeated doc_ids are separate documents; an empty table gives an empty
@@ -239,19 +242,18 @@ def _round(base: list[str], number: int, last: bool, capacity: int):
         pdf = pdf.sort_values(base, kind="stable").reset_index(drop=True)
         lengths = pdf["length"].to_numpy(np.int64)
         bin_of, offset, bins = best_fit_decreasing(lengths, capacity)
-        again = np.zeros(bins, bool)
-        if not last:
-            again = _reopened(lengths, bin_of, bins, lower_bound(lengths, capacity), capacity)
-        return pdf[base].assign(round=number, grp=pdf["grp"], bin=bin_of, offset=offset, done=~again[bin_of])
+        bound = lower_bound(lengths, capacity)
+        again = np.zeros(bins, bool) if last else _reopened(lengths, bin_of, bins, bound, capacity)
+        return pdf[base].assign(round=number, grp=pdf["grp"], bin=bin_of, offset=offset, done=~again[bin_of], gap=bins - bound)
     return run
 
 
-GROUPED = "round int, grp long, bin long, offset long, done boolean"
+GROUPED = "round int, grp long, bin long, offset long, done boolean, gap long"
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``items`` (with a column length, at most ``capacity``) with
-    sequence_id and offset. Items are written once; the rounds read them."""
+    sequence_id, offset and gap. Items are written once; the rounds read them."""
     base = items.columns
     kept_schema = ", ".join(f"`{c}` {t}" for c, t in items.dtypes)
     full = items.where(F.col("length") == capacity)
@@ -276,11 +278,11 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     bins = out[0]
     for x in out[1:]:
         bins = bins.unionByName(x)
-    placed = bins.select(*base, (F.col("round").cast("long") * F.lit(1 << 58) + F.col("grp") * F.lit(1 << 24) + F.col("bin")).alias("sequence_id"), "offset")
-    whole = full.select(*base, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    placed = bins.select(*base, (F.col("round").cast("long") * F.lit(1 << 58) + F.col("grp") * F.lit(1 << 24) + F.col("bin")).alias("sequence_id"), "offset", "gap")
+    whole = full.select(*base, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(0).cast("long").alias("gap"))
     return placed.unionByName(whole)
 
 
 def pack_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", capacity: int = CAPACITY) -> DataFrame:
-    """Pieces of all ``docs`` with sequence_id and offset."""
+    """Pieces of all ``docs`` with sequence_id, offset and gap."""
     return pack(written(pieces(docs, vocabulary, capacity), "pieces"), capacity)
