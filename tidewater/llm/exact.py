@@ -1,13 +1,12 @@
-"""Exact dedup by a tree-merge of sorted digest runs.
-
-Each input partition makes a run: its distinct digests, sorted, with the
-smallest identifier and the count of each. Runs are exchanged in rounds over
-a hypercube of base 16: in round r the 16 slots that differ in digit r swap
-rows so that each keeps the digests with its own r-th hex digit, merges the
-sorted runs it got and keeps the smallest identifier. After the last round a
-slot owns one range of digests for the whole corpus; no slot ever holds more
-than its share, and a digest has at most one row per slot however many
-copies it has.
+"""Exact dedup by grouping digests in rounds.
+
+Each input partition has a slot and gives its distinct digests, with the
+smallest identifier and the count of each. In round r the slots that differ
+in digit r in base 16 pass rows on so that each has the digests with its own
+r-th hex digit. Every round is a groupBy of slot and digest, which Spark
+hashes over all tasks: a slot is a label, no sorted runs are made or merged,
+and up to 16 input partitions there is one round, equal in effect to grouping
+by digest. A digest has at most one row per slot however many copies it has.
 
 Inputs: null text counts as empty; null ids sort last; repeated rows count
 as copies, of which one row stays; an empty table gives an empty result;
