@@ -14,7 +14,7 @@ from tidewater.functions.codec import (
 )
 from tidewater.functions.schema import EVENT_COLUMNS, EVENT_SCHEMA
 
-from conftest import plan_text
+from testkit import plan_text
 
 text = st.text(max_size=40)
 i64 = st.integers(min_value=-(2**63), max_value=2**63 - 1)

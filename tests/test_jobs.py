@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from testkit import SF001
 from tidewater.functions.timefn import with_event_hour
 from tidewater.jobs import main
 from tidewater.operators.sinks import append_events

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF001, local_path
+from testkit import SF001, local_path
 from tidewater.functions.schema import EVENT_SCHEMA, LANDED_SCHEMA
 from tidewater.functions.timefn import event_hour, with_event_hour
 from tidewater.operators.basic import take_rows, where_equals

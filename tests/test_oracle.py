@@ -7,7 +7,7 @@ import sys
 import duckdb
 import pytest
 
-from conftest import ROOT, SF001
+from testkit import ROOT, SF001
 
 sys.path.insert(0, os.path.join(ROOT, "scripts"))
 from oracle_check import TABLES, rows_of  # noqa: E402

@@ -3,7 +3,7 @@ no shuffle in the bucketed join, broadcast only of bounded tables."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF001, plan_text
+from testkit import SF001, plan_text
 from tidewater.functions.timefn import with_event_hour
 from tidewater.operators.basic import take_rows, where_equals
 from tidewater.operators.bucketing import write_bucketed

@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from conftest import SF001, local_path
+from testkit import SF001, local_path
 from tidewater.functions.timefn import with_event_hour
 from tidewater.operators.bucketing import skewed_values
 from tidewater.operators.catalog import partition_inventory, register_landed, show_partitions, sync_partitions
@@ -181,7 +181,7 @@ def test_json_mapping_bad_json_gives_nulls(spark):
 
 
 def test_json_mapping_in_the_connectors_form(spark):
-    from conftest import plan_text
+    from testkit import plan_text
     from tidewater.operators.jsonmap import map_topic
 
     # the connector's documented example of a table description
@@ -320,7 +320,7 @@ def test_compact_table_hides_no_append_and_finds_escaped_keys(spark, scratch, mo
 
 
 def test_true_foreign_keys_have_no_orphans(spark):
-    from conftest import SF01
+    from testkit import SF01
     from tidewater.sources.tables import read_table
 
     t = lambda n: read_table(spark, SF01, n)

@@ -5,7 +5,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from conftest import SF01, local_path
+from testkit import SF01, local_path
 from tidewater.functions.timefn import with_event_hour
 from tidewater.operators.compaction import compact
 from tidewater.operators.keys import duplicate_keys, orphans

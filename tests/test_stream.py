@@ -3,7 +3,7 @@ position, metrics."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from testkit import SF001
 from tidewater.functions.codec import decode_events
 from tidewater.functions.timefn import with_event_hour
 from tidewater.sources.envelope import event_envelope, read_replay, write_replay
