@@ -1,11 +1,5 @@
-import os
-import sys
-
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
-
 DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import small_batches
 from tidewater.llm.exact import exact_groups
+from tidewater.llm.fim import fill_in_middle, restored
 from tidewater.llm.lines import near_lines
 from tidewater.llm.mixing import drawn_by_shard
 from tidewater.llm.neardup import near_classes
@@ -138,6 +139,30 @@ def op5(spark, sf_dir):
     return near_classes(_table(spark, sf_dir, "documents"))
 
 
+# --- op12: fill-in-middle ---------------------------------------------------------------
+
+FIM_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+         sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+h AS (
+  SELECT doc_id, t, u, CAST(len(u) AS BIGINT) AS n, CAST('0x' || substr(x, 1, 8) AS BIGINT) % (len(u) + 1) AS a, CAST('0x' || substr(x, 9, 8) AS BIGINT) % (len(u) + 1) AS b,
+         CAST('0x' || substr(x, 17, 8) AS BIGINT) % 100 AS c, CAST('0x' || substr(x, 25, 8) AS BIGINT) % 100 AS d FROM d),
+f AS (
+  SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c >= 100 THEN 'plain' WHEN d < 50 THEN 'spm' ELSE 'psm' END AS form,
+         array_to_string(u[1:least(a, b)], '') AS p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m, array_to_string(u[greatest(a, b) + 1:], '') AS s FROM h)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM f"""
+
+
+@query("op12_fill_in_middle", FIM_SQL)
+def op12(spark, sf_dir):
+    made = fill_in_middle(_table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(), 256).alias("restored_sha256"))
+
+
 # --- op2: line dedup -----------------------------------------------------------------
 
 LINES_SQL = r"""
