@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import small_batches
+from tidewater.llm.divergence import divergence
 from tidewater.llm.exact import exact_groups
 from tidewater.llm.fim import fill_in_middle, restored
 from tidewater.llm.lines import near_lines
@@ -163,6 +164,40 @@ def op12(spark, sf_dir):
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(), 256).alias("restored_sha256"))
 
 
+# --- op13: source divergence audit -------------------------------------------------------
+
+DIVERGENCE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS x FROM documents),
+o AS (SELECT r, lang, source, translate(unnest(x), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+k AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM o JOIN k USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT s.lang, s.source, coalesce(v.v, 0) AS v, coalesce(sum(c.n), 0) AS total
+      FROM (SELECT DISTINCT lang, source FROM d) s LEFT JOIN v USING (lang) LEFT JOIN c ON c.lang = s.lang AND c.source = s.source GROUP BY s.lang, s.source, v.v),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 5) // (g.total + 5 * g.v)::HUGEINT AS p
+      FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+t AS (SELECT lang, sum(total) AS total FROM g GROUP BY lang),
+q AS (SELECT k.lang, k.term, 1 + 1000000000::HUGEINT * (sum(c.n) + 5)::HUGEINT // (any_value(t.total) + 5 * any_value(v.v))::HUGEINT AS q
+      FROM k JOIN c USING (lang, term) JOIN t ON t.lang = k.lang JOIN v ON v.lang = k.lang GROUP BY k.lang, k.term),
+far AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(coalesce(sum(abs(x.p - y.p)), 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY a.lang, a.source, b.source),
+own AS (SELECT p.lang, p.source, p.term AS item, CAST(p.p - q.q AS BIGINT) AS value FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p.p > q.q)
+SELECT lang, source, 'pair' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM far
+UNION ALL
+SELECT lang, source, 'term', item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM own
+QUALIFY rank <= 50"""
+
+
+@query("op13_source_divergence", DIVERGENCE_SQL)
+def op13(spark, sf_dir):
+    return divergence(_table(spark, sf_dir, "documents"))
+
+
 # --- op2: line dedup -----------------------------------------------------------------
 
 LINES_SQL = r"""

@@ -56,6 +56,16 @@ def bytes_and_offsets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def eight_bytes(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Up to eight bytes from each start as a big-endian uint64, zeros behind
+    ``size`` bytes (none where it is 0 or less)."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    each = np.ndarray(len(data) + 1, ">u8", padded, strides=(1,))
+    spare = (8 * (8 - np.clip(size, 1, 8))).astype(np.uint64)
+    word = each[np.minimum(start, len(data))].astype(np.uint64)
+    return np.where(size > 0, (word >> spare) << spare, np.uint64(0))
+
+
 class Words:
     """Words of a text batch.
 
