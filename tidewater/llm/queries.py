@@ -20,6 +20,7 @@ from tidewater.llm.packing import pack_documents
 from tidewater.llm.resample import resample
 from tidewater.llm.rules import quality_rules
 from tidewater.llm.substring import remove_repeats
+from tidewater.llm.topk import top_k
 from tidewater.llm.toxicity import toxicity
 from tidewater.llm.warc import archive, lookup, read_records
 
@@ -140,6 +141,23 @@ def op5(spark, sf_dir):
     return near_classes(_table(spark, sf_dir, "documents"))
 
 
+# --- op11: exact top-k search ------------------------------------------------------------
+
+TOP_K_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.r <> c.r)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s QUALIFY rank <= 5"""
+
+
+@query("op11_exact_top_k", TOP_K_SQL)
+def op11(spark, sf_dir):
+    return top_k(_table(spark, sf_dir, "embeddings"), queries=50)
+
+
 # --- op12: fill-in-middle ---------------------------------------------------------------
 
 FIM_SQL = r"""
