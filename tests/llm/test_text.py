@@ -18,6 +18,7 @@ from tidewater.llm import queries, trees
 from tidewater.llm.lines import near_lines
 from tidewater.llm.resample import cut_point, keep_good, resample
 from tidewater.llm.common import largest_cut
+from tidewater.llm.packing import encoder
 from tidewater.llm.rules import MONOTONE, quality_rules, statistics
 from tidewater.llm.substring import COVER, PERIOD, remove_repeats
 from tidewater.llm.toxicity import features, toxicity
@@ -38,6 +39,43 @@ def test_words_of_odd_texts():
     assert (sliced.hashes() == w.hashes()[w.first[4]:w.first[7]]).all()
 
 
+def _alike():
+    """Two words of 1024 signs that sums over powers of a base can't tell apart."""
+    signs = [0]
+    while len(signs) < 1024:
+        signs += [1 - x for x in signs]
+    return "".join("ab"[x] for x in signs), "".join("ba"[x] for x in signs)
+
+
+def test_word_hashes_tell_patterned_words_apart(docs):
+    x, y = _alike()
+    w = Words(pa.array([f"{x} {y} {x}", " ".join(map("pq".__getitem__, (c == "a" for c in x))), " ".join(map("pq".__getitem__, (c == "a" for c in y)))]))
+    h = w.hashes()
+    assert h[0] == h[2] != h[1]
+    assert w.same(np.array([0, 0]), np.array([2, 1])).tolist() == [True, False]
+    at, prints = w.windows(h, 1024)
+    assert len(prints) == 2 and prints[0] != prints[1]
+    common = [f"c{i}" for i in range(34)]
+    got = remove_repeats(docs([" ".join([*common, x]), " ".join([*common, y])])).collect()
+    assert [r.n_removed for r in got] == [0, 0]
+    assert statistics(pa.array([f"{x}\n{y}", f"{x}\n{x}"]))[0][:, 3].tolist() == [0, 1]
+    for texts in ([x, y], [y, x]):  # the ids of a text don't depend on its batch
+        ids, bounds = encoder("word_bpe_49k.json").batch(pa.array(texts))
+        for k, t in enumerate(texts):
+            assert ids[bounds[k]:bounds[k + 1]].tolist() == encoder("word_bpe_49k.json").whole(t).tolist()
+
+
+def test_window_hashes_are_those_of_their_words():
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices("abcd", k=n)) for n in (0, 3, 40, 41, 90)]
+    w = Words(pa.array(texts))
+    h = w.hashes()
+    for size in (1, 2, 5, 8, 15, 35):
+        at, prints = w.windows(h, size)
+        want = [tuple(h[i:i + size]) for lo, n in zip(w.first, w.count) for i in range(lo, lo + n - size + 1)]
+        assert len(want) == len(at) and len(set(want)) == len(set(prints.tolist())) == len(set(zip(want, prints.tolist())))
+
+
 # --- substring dedup ---------------------------------------------------------------
 
 def test_cover_has_every_difference():

@@ -60,7 +60,7 @@ class Encoder:
     order. Runs go through a byte-pair encoder that holds the same vocabulary
     as ranks, with a zero byte for the end of a run. Texts where bytes can't
     tell the runs (apostrophes, special tokens, zero bytes, signs beyond ASCII
-    that aren't letters in composed form) go through the tokenizer whole.
+    that aren't letters in composed form, runs of equal hash but other bytes) go through the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -132,7 +132,7 @@ class Encoder:
         source = np.repeat(at[which] - until[:-1], many) + np.arange(until[-1])
         out, bounds = pool[source], until[w.first]
         odd = np.zeros(rows, bool)
-        odd[w.rows()[slow[which]]] = True
+        odd[w.rows()[slow[which] | ~w.same(np.arange(len(which)), one[which], low)]] = True
         if b"<|" in data:
             odd |= np.array([b"<|" in data[a:b] for a, b in zip(w.offsets[:-1].tolist(), w.offsets[1:].tolist())])
         if odd.any():

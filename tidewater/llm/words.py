@@ -1,8 +1,9 @@
 """Words of whole Arrow text batches as numpy arrays.
 
 A word is a maximal run of bytes other than 20, 09-0D (the contract's
-``[^\\x20\\x09-\\x0D]+`` on UTF-8). Word and window fingerprints are 64-bit
-polynomial sums over prefix tables, finished by a mixing step.
+``[^\\x20\\x09-\\x0D]+`` on UTF-8). A word's fingerprint sums mixed pieces of
+eight bytes, each with its place; a window's mixes those of its halves. Both
+have 64 bits and no structure that words of any length could share.
 """
 
 from __future__ import annotations
@@ -12,23 +13,6 @@ import pyarrow as pa
 
 _IS_WORD = np.ones(256, np.uint8)
 _IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = 0
-_BASE = {"byte": 0x9E3779B97F4A7C15 | 1, "word": 0xD6E8FEB86659FD93 | 1}
-_TABLES: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _powers(kind: str, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, at least n of each."""
-    if kind not in _TABLES or len(_TABLES[kind][0]) < n:
-        size = max(n, 1 << 16)
-        base = _BASE[kind]
-        inverse = pow(base, -1, 1 << 64)
-        tables = []
-        for x in (base, inverse):
-            t = np.full(size, x, np.uint64)
-            t[0] = 1
-            tables.append(np.cumprod(t, dtype=np.uint64))
-        _TABLES[kind] = tuple(tables)
-    return tuple(t[:n] for t in _TABLES[kind])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -100,21 +84,43 @@ class Words:
         """A 64-bit fingerprint of each word (of its bytes in ``data``, where
         those differ, as after a change of case)."""
         data = self.data if data is None else data
-        up, down = _powers("byte", len(data) + 1)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.add(data, 1, out=sums[1:], casting="unsafe", dtype=np.uint64)
-        sums[1:] *= up[:-1]
-        np.cumsum(sums, out=sums)
-        h = (sums[self.end] - sums[self.start]) * down[self.start]
-        return mix(h + (self.end - self.start).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+        size = self.end - self.start
+        pieces = (size + 7) >> 3
+        first = np.cumsum(pieces) - pieces
+        if not len(size):
+            return np.zeros(0, np.uint64)
+        which = np.repeat(np.arange(len(size)), pieces)
+        place = np.arange(len(which)) - first[which]
+        piece = eight_bytes(data, self.start[which] + 8 * place, size[which] - 8 * place)
+        mixed = mix(mix(piece + np.uint64(0x9E3779B97F4A7C15)) + place.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        return mix(np.add.reduceat(mixed, first) + size.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+
+    def same(self, i: np.ndarray, j: np.ndarray, data: np.ndarray | None = None) -> np.ndarray:
+        """Whether words i and j are equal, byte by byte (of ``data``)."""
+        data = self.data if data is None else data
+        a, b, size = self.start[i], self.start[j], (self.end - self.start)[i]
+        out = size == (self.end - self.start)[j]
+        on = np.flatnonzero(out & (a != b))
+        for k in range(0, 64, 8):
+            on = on[size[on] > k]
+            out[on] &= eight_bytes(data, a[on] + k, size[on] - k) == eight_bytes(data, b[on] + k, size[on] - k)
+        for x in on[size[on] > 64].tolist():
+            out[x] = out[x] and np.array_equal(data[a[x]:a[x] + size[x]], data[b[x]:b[x] + size[x]])
+        return out
 
     def windows(self, hashes: np.ndarray, size: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Index of the first word of each window of ``size`` words within a
-        row, and the window's fingerprint."""
+        row, and the window's fingerprint: of runs of 1, 2, 4, … words, as
+        ``size`` is a sum of them, each made of two of half its length."""
         last = np.repeat(self.first[1:], self.count) - size
         at = np.flatnonzero(np.arange(len(hashes)) <= last)
-        up, down = _powers("word", len(hashes) + 1)
-        sums = np.zeros(len(hashes) + 1, np.uint64)
-        salted = mix(hashes ^ np.uint64(salt)) if salt else hashes
-        np.cumsum(salted * up[:-1], out=sums[1:])
-        return at, mix((sums[at + size] - sums[at]) * down[at])
+        run, width, begin = mix(hashes ^ np.uint64(salt)) if salt else hashes, 1, at
+        out = np.full(len(at), size, np.uint64)
+        while True:
+            if size & width:
+                out = mix(out * np.uint64(0xD6E8FEB86659FD93) + run[begin])
+                begin = begin + width
+            if 2 * width > size:
+                return at, out
+            run = mix(run[:-width] * np.uint64(0x9E3779B97F4A7C15) + run[width:]) if len(run) > width else run[:0]
+            width *= 2
