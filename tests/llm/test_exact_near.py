@@ -11,7 +11,7 @@ import pytest
 from tests_llm_util import CLASHES, words
 from tidewater.llm.components import components
 from tidewater.llm.exact import drop_exact, exact_groups, tree_merge, digests
-from tidewater.llm.neardup import dart_signatures, drop_near, near_classes, shingles
+from tidewater.llm.neardup import dart_signatures, drop_near, near_classes, shingles, units_beside
 from tidewater.llm.common import written
 
 EDGE = ["a b", "a  b", "a\tb", None, "", " ", "a b c", "a b", "x" * 50_000, "é ü", "é\x0bü", "\x1c", "a b"]
@@ -135,6 +135,42 @@ def test_near_classes_against_brute_force(docs):
     assert got == {i: (c, sizes[c], c == i) for i, c in enumerate(want)}
 
 
+def _template_corpus(rng, long):
+    """Documents around one template, just below 0.8 to each other, and pairs
+    that also share some of their own words, just above and below it."""
+    base = 700 if long else 90
+    template = words(rng, base)
+    texts = []
+    for _ in range(45):
+        own = words(rng, round(base * rng.uniform(0.12, 0.16)), 10**6)
+        texts.append(" ".join(template + own))
+        if rng.random() < 0.6:
+            part = round(len(own) * rng.uniform(0.25, 0.75))
+            texts.append(" ".join(template + own[:part] + words(rng, len(own) - part, 10**6)))
+    return texts
+
+
+@pytest.mark.parametrize("long, exact", [(False, False), (True, False), (True, True)])
+def test_near_classes_of_a_template_corpus(docs, long, exact):
+    texts = _template_corpus(random.Random(12), long)
+    want = _brute_classes(texts)
+    got = {r.doc_id: r.class_id for r in near_classes(docs(texts), exact=exact).collect()}
+    linked = [i for i, c in enumerate(want) if c != i]
+    assert 8 < len(linked) < len(texts) - 25
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_units_beside_a_pivot():
+    def weighted(**w):
+        return np.array(sorted(map(ord, w)), np.uint64), np.array([w[k] for k in sorted(w)], float)
+
+    z, x, y = weighted(a=2, b=1, c=5), weighted(a=3, c=4, d=2), weighted(a=4, d=1)
+    ux, uy = set(units_beside(z, x, None).tolist()), set(units_beside(z, y, None).tolist())
+    assert len(ux) == 3 and len(uy) == 3 and len(ux & uy) == 2  # the third a, the first d
+    assert set(units_beside(z, x, 2).tolist()) == set(sorted(ux)[:2])
+    assert len(units_beside(z, z, None)) == 0 and len(units_beside(weighted(), y, None)) == 5
+
+
 def test_near_dedup_with_nulls_repeats_and_nothing(docs):
     text = " ".join(f"x{i}" for i in range(40))
     df = docs([text, text, text, "", "", None], ids=[3, 3, None, 8, 9, 10], extra=CLASHES)
