@@ -20,7 +20,9 @@ from tidewater.functions.codec import REASON_UNDECODABLE, decode_events, decode_
 from tidewater.functions.schema import EVENT_FIELDS, PARTITION_KEYS, TOPIC, WITH_EVENT_ID, landed_schema
 from tidewater.functions.timefn import with_event_hour
 from tidewater.operators.basic import take_rows, where_equals
-from tidewater.operators.bucketing import bucket_count, drop_table, skewed_values, write_bucketed
+from tidewater.operators.bucketing import (
+    bucket_count, drop_table, heavy_values, read_skewed, skewed_values, write_bucketed, write_skewed,
+)
 from tidewater.operators.catalog import (
     drop_expired_partitions, partition_inventory, register_landed, sync_partitions,
 )
@@ -28,7 +30,10 @@ from tidewater.operators.compaction import compact, compact_table, retain
 from tidewater.operators.files import list_files, partition_sizes
 from tidewater.operators.jsonmap import map_json
 from tidewater.operators.keys import duplicate_keys, orphans
+from tidewater.operators.refresh import refresh
 from tidewater.operators.sinks import append_events, overwrite_csv, overwrite_parquet, read_csv
+from tidewater.operators.sketches import QUANTILES, merge_sketches, refresh_sketches
+from tidewater.operators.skipping import scan_values, update_index
 from tidewater.operators.stats import column_stats
 from tidewater.plans import sql as Q
 from tidewater.session import pin_utc, shared_root, unique_name, workspace
@@ -50,6 +55,7 @@ RETAIN_DAYS = 7
 UNDATED_EVERY = 100  # events whose date the retention queries blank, to see them kept
 SKEW_SHARE = 0.2
 PAIR_SHARE = 0.1
+SUMMARY_SHARES = (0.2, 0.05, 0.002)
 EXACT_DISTINCT = ("event_date", "event_hour", "event_type")
 JSON_MAPPING = [("product_id", "k", "BIGINT"), ("k_text", "k", "VARCHAR"), ("missing", "nope", "INTEGER")]
 
@@ -409,6 +415,108 @@ def partition_stats_q(spark, sf_dir):
     return _exact_only(column_stats(landed, keys=PARTITION_KEYS, exact=EXACT_DISTINCT))
 
 
+# --- sketches, skipping index, refreshed report: kept per partition or file ------
+
+def _newest_later(spark, sf_dir, root: str, between) -> str:
+    """Lands all dates but the newest, calls ``between``, lands the newest; returns it."""
+    rows = with_event_hour(event_fixture(spark, sf_dir))
+    newest = rows.agg(F.max("event_date")).first()[0]
+    append_events(rows.where(F.col("event_date") < newest), root)
+    between()
+    append_events(rows.where(F.col("event_date") == newest), root)
+    return newest
+
+
+DISTINCT_ERROR, RANK_ERROR = 0.05, 0.01
+
+
+def _held_to_exact(merged: DataFrame, rows: DataFrame) -> DataFrame:
+    """``merged`` with its estimates judged against exact counts of ``rows``:
+    one pass, with the few estimates as constants."""
+    found = merged.collect()  # a row per column
+    types = dict(rows.dtypes)
+    aggs = []
+    for i, r in enumerate(found):
+        c = F.col(r["column_name"])
+        aggs.append(F.count_distinct(c).alias(f"d{i}"))
+        for j, v in enumerate(r["quantiles"] or []):
+            x = c.cast("double")
+            aggs += [F.count_if(x < v).alias(f"lt{i}_{j}"), F.count_if(x <= v).alias(f"le{i}_{j}")]
+    exact = rows.agg(*aggs).first()
+    judged = []
+    for i, r in enumerate(found):
+        n = r["rows"] - r["num_nulls"]
+        ranks = [(exact[f"lt{i}_{j}"] / n - RANK_ERROR <= q <= exact[f"le{i}_{j}"] / n + RANK_ERROR) for j, q in enumerate(QUANTILES)] if r["quantiles"] else []
+        judged.append((r["column_name"], abs(r["distincts"] - exact[f"d{i}"]) <= DISTINCT_ERROR * exact[f"d{i}"], all(ranks) if ranks else None))
+    assert all(n in types for n, _, _ in judged)
+    verdict = rows.sparkSession.createDataFrame(judged, "column_name string, distincts_ok boolean, quantiles_ok boolean")
+    return merged.drop("distincts", "quantiles").join(F.broadcast(verdict), "column_name")
+
+
+_SKETCHED = [(n, t) for n, t in _EVENT_STATS if n not in PARTITION_KEYS]
+
+
+def _sketch_sql() -> str:
+    each = []
+    for name, kind in _SKETCHED:
+        number, text = kind in ("bigint", "int", "float"), kind == "string"
+        each.append(
+            f"SELECT '{name}' AS column_name, '{kind}' AS column_type, count(*) AS rows, count(*) - count({name}) AS num_nulls, "
+            + (f"CAST(min({name}) AS DOUBLE) AS low, CAST(max({name}) AS DOUBLE) AS high, " if number else "CAST(NULL AS DOUBLE) AS low, CAST(NULL AS DOUBLE) AS high, ")
+            + (f"round(avg(length({name})), 6) AS avg_col_len, CAST(max(length({name})) AS BIGINT) AS max_col_len, " if text
+               else "CAST(NULL AS DOUBLE) AS avg_col_len, CAST(NULL AS BIGINT) AS max_col_len, ")
+            + f"TRUE AS distincts_ok, {'TRUE' if number else 'CAST(NULL AS BOOLEAN)'} AS quantiles_ok FROM fx")
+    scanned = "(SELECT count(DISTINCT event_hour) FROM fx WHERE event_date = (SELECT max(event_date) FROM fx))"
+    return f"SELECT *, {scanned} AS scanned_partitions FROM (" + "\nUNION ALL\n".join(each) + ")"
+
+
+@query("stats_sketches", Q.with_fixture(_sketch_sql()))
+def stats_sketches_q(spark, sf_dir):
+    """Statistics merged from sketches per partition; the newest date lands
+    after the first refresh, and the second one scans its partitions alone.
+    Estimates are held to 5 % (distinct values) and 1 % of rank (quantiles)."""
+    base = workspace(spark, "sketches")
+    run = functools.partial(refresh_sketches, spark, f"{base}/store", f"{base}/landed", schema=LANDED_WITH_ID)
+    _newest_later(spark, sf_dir, f"{base}/landed", run)
+    stored, scanned = run()
+    rows = read_landed(spark, f"{base}/landed", schema=LANDED_WITH_ID)
+    return _held_to_exact(merge_sketches(stored), rows).withColumn("scanned_partitions", F.lit(scanned.count()).cast("bigint"))
+
+
+@query("skipping_scan", Q.with_fixture(
+    f"SELECT {Q.LANDED_COLS} FROM fx WHERE user_id IN (SELECT user_id FROM events WHERE event_id IN (1, 2, 3))"))
+def skipping_scan_q(spark, sf_dir):
+    """Rows of a few users, from the files that the index picks; the index
+    takes in the newest date's files after those of the others."""
+    base = workspace(spark, "skipping")
+    add = functools.partial(update_index, spark, f"{base}/index", f"{base}/landed", ["user_id", "product_id", "price", "brand"], schema=LANDED_WITH_ID)
+    _newest_later(spark, sf_dir, f"{base}/landed", add)
+    add()
+    users = [r[0] for r in read_table(spark, sf_dir, "events").where(F.col("event_id").isin(1, 2, 3)).select("user_id").distinct().collect()]
+    return scan_values(spark, f"{base}/index", f"{base}/landed", "user_id", users, schema=LANDED_WITH_ID)
+
+
+def report_partitions(rows: DataFrame) -> DataFrame:
+    """The landed-table report, a row per partition with its event types."""
+    money = F.round(F.sum(F.col("price").cast("double").cast("decimal(18,6)")).cast("double"), 2)
+    per_type = rows.groupBy(*PARTITION_KEYS, "event_type").agg(F.count(F.lit(1)).alias("events"), F.count_distinct("user_id").alias("users"), money.alias("revenue"))
+    return per_type.groupBy(*PARTITION_KEYS).agg(F.collect_list(F.struct("event_type", "events", "users", "revenue")).alias("report"))
+
+
+@query("report_refresh", Q.with_fixture(f"""
+SELECT r.*, CAST((SELECT count(DISTINCT event_hour) FROM fx WHERE event_date = (SELECT max(event_date) FROM fx)) AS BIGINT) AS scanned_partitions
+FROM ({Q.S5_TEMPLATE.format(table="fx")}) r"""))
+def report_refresh_q(spark, sf_dir):
+    """The landed-table report as a stored result, refreshed after one more
+    date has landed: only its partitions are computed."""
+    base = workspace(spark, "report")
+    run = functools.partial(refresh, spark, f"{base}/store", f"{base}/landed", report_partitions, schema=LANDED_WITH_ID)
+    _newest_later(spark, sf_dir, f"{base}/landed", run)
+    stored, scanned = run()
+    return (stored.select(*PARTITION_KEYS, F.explode("report").alias("r")).select(*PARTITION_KEYS, "r.*")
+            .withColumn("scanned_partitions", F.lit(scanned.count()).cast("bigint")))
+
+
 def _scattered(spark, sf_dir, root: str) -> float:
     """Lands the events as frequent small appends do, every task writing into
     every hour it holds; returns half the mean partition size in MB."""
@@ -543,6 +651,33 @@ def skew_pairs(spark, sf_dir):
     return skewed_values(read_table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], PAIR_SHARE)
 
 
+@query("skew_summary", "\nUNION ALL\n".join(f"""
+SELECT CAST({share} AS DOUBLE) AS at_least, event_type AS value, count(*) AS n, count(*) / (SELECT count(*) FROM events) AS share FROM events
+GROUP BY event_type HAVING count(*) >= {share} * (SELECT count(*) FROM events)
+UNION ALL
+SELECT CAST({share} AS DOUBLE), CAST(user_id AS VARCHAR), count(*), count(*) / (SELECT count(*) FROM events) FROM events
+GROUP BY user_id HAVING count(*) >= {share} * (SELECT count(*) FROM events)""" for share in SUMMARY_SHARES))
+def skew_summary_q(spark, sf_dir):
+    """Skewed values by summary and recount: equal to a full count, without a shuffle by value."""
+    events = read_table(spark, sf_dir, "events")
+    found = [heavy_values(events, c, share).select(F.lit(share).alias("at_least"), F.col(c).cast("string").alias("value"), "n", "share")
+             for share in SUMMARY_SHARES for c in ("event_type", "user_id")]
+    return functools.reduce(DataFrame.unionAll, found)
+
+
+@query("skew_layout", Q.with_fixture(f"""
+SELECT {Q.LANDED_COLS}, CASE WHEN event_type IN (SELECT event_type FROM fx GROUP BY event_type HAVING count(*) >= {SKEW_SHARE} * (SELECT count(*) FROM fx))
+       THEN event_type END AS own_directory FROM fx"""))
+def skew_layout_q(spark, sf_dir):
+    """All rows of a table whose skewed event types have directories of their own."""
+    root = f"{workspace(spark, 'skew-layout')}/events"
+    rows = with_event_hour(event_fixture(spark, sf_dir))
+    write_skewed(rows, root, "event_type", heavy_values(rows, "event_type", SKEW_SHARE))
+    read = read_skewed(spark, root, rows.schema, directory=True)
+    own = F.when(F.col("values_of").startswith("="), F.expr("substring(values_of, 2)"))
+    return read.withColumn("own_directory", own).drop("values_of")
+
+
 @query("json_mapping", """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS product_id,
        json_extract_string(props, '$.k') AS k_text, CAST(NULL AS INTEGER) AS missing
