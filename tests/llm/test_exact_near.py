@@ -160,6 +160,27 @@ def test_near_classes_of_a_template_corpus(docs, long, exact):
     assert [got[i] for i in range(len(texts))] == want
 
 
+def test_recall_among_scattered_edits(docs):
+    """Copies of two texts with up to a third of the words changed, and copies
+    of copies: similarities of 0.2 to 1, most of them below 0.8."""
+    rng = random.Random(21)
+    texts = []
+    for n in (110, 300):
+        base = words(rng, n)
+        for _ in range(90):
+            texts.append(_edited(rng, base, rng.randrange(round(n * 0.09))))
+            if rng.random() < 0.4:
+                texts.append(_edited(rng, texts[-1], rng.randrange(1, 4)))
+    texts = [" ".join(t) for t in texts]
+    want = _brute_classes(texts)
+    got = {r.doc_id: r.class_id for r in near_classes(docs(texts)).collect()}
+    classes = collections.Counter(want)
+    assert len(classes) > 60 and max(classes.values()) > 40
+    assert len(set(zip(want, (got[i] for i in range(len(texts)))))) == len(set(got.values()))  # nothing linked that isn't
+    lost = sum(got[i] != c for i, c in enumerate(want))
+    assert lost <= len(texts) * 0.005
+
+
 def test_units_beside_a_pivot():
     def weighted(**w):
         return np.array(sorted(map(ord, w)), np.uint64), np.array([w[k] for k in sorted(w)], float)
