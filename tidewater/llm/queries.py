@@ -221,8 +221,8 @@ def op13(spark, sf_dir):
 LINES_SQL = r"""
 WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents),
 l AS (SELECT doc_id, unnest(range(len(x))) AS line_no, trim(unnest(x), ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line FROM split),
-f AS (SELECT line, length(line) AS n, min(struct_pack(d := doc_id, l := line_no)) AS o FROM l WHERE length(line) >= 20 GROUP BY line),
-k AS (SELECT *, unnest(list_distinct([(n - 2) // 2, (n - 1) // 2])) AS m FROM f),
+f AS (SELECT line, length(line) AS n, min(struct_pack(d := doc_id, l := line_no)) AS o FROM l WHERE line <> '' GROUP BY line),
+k AS (SELECT *, unnest(list_distinct([(n - 2) // 2, (n - 1) // 2])) AS m FROM f WHERE n >= 20),
 p AS (
   SELECT a.line AS a, b.line AS b, a.n AS na, b.n AS nb FROM k a JOIN k b ON a.m = b.m AND left(a.line, a.m) = left(b.line, b.m) AND b.o < a.o AND abs(a.n - b.n) <= 1
   UNION SELECT a.line, b.line, a.n, b.n FROM k a JOIN k b ON a.m = b.m AND right(a.line, a.m) = right(b.line, b.m) AND b.o < a.o AND abs(a.n - b.n) <= 1),
@@ -239,12 +239,3 @@ FROM split s LEFT JOIN gone g ON g.doc_id = s.doc_id GROUP BY s.doc_id, s.x"""
 @query("op2_line_dedup", LINES_SQL)
 def op2(spark, sf_dir):
     return near_lines(_table(spark, sf_dir, "documents"))
-
-
-# The same with equal lines of any length: only the edits keep the floor.
-ALL_LINES_SQL = LINES_SQL.replace("WHERE length(line) >= 20 GROUP BY", "WHERE line <> '' GROUP BY").replace("AS m FROM f)", "AS m FROM f WHERE n >= 20)")
-
-
-@query("op2_line_dedup_all", ALL_LINES_SQL)
-def op2_all(spark, sf_dir):
-    return near_lines(_table(spark, sf_dir, "documents"), equal_chars=1)
