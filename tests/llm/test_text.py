@@ -16,13 +16,13 @@ import pytest
 from tests_llm_util import CLASHES, words
 from tidewater.llm import queries, trees
 from tidewater.llm.lines import near_lines
-from tidewater.llm.resample import cut_point, keep_good, resample
+from tidewater.llm.resample import BUCKETS, cut_point, keep_good, left_out, log_ratio, ngrams, resample
 from tidewater.llm.common import largest_cut
 from tidewater.llm.packing import encoder
 from tidewater.llm.rules import MONOTONE, quality_rules, statistics
 from tidewater.llm.substring import COVER, PERIOD, remove_repeats
 from tidewater.llm.toxicity import features, toxicity
-from tidewater.llm.words import Words
+from tidewater.llm.words import Words, mix
 
 SF01 = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -154,10 +154,9 @@ def test_line_dedup_against_brute_force(docs):
         want[d] = []
         for k, line in enumerate((t or "").split("\n")):
             line = line.strip(" \t\r\x0b\x0c")
-            if len(line) >= 20:
-                if any(line == x or _distance_1(line, x) for x in seen):
-                    want[d].append(k)
-                seen.append(line)
+            if line in seen and line or len(line) >= 20 and any(len(x) >= 20 and _distance_1(line, x) for x in seen):
+                want[d].append(k)
+            seen.append(line)
     got = {r.doc_id: r for r in near_lines(docs(texts, extra=CLASHES)).collect()}
     assert {d: list(r.dropped) for d, r in got.items()} == want
     assert all(r.n_lines == (texts[d] or "").count("\n") + 1 and r.n_dropped == len(want[d]) for d, r in got.items())
@@ -182,10 +181,44 @@ def test_line_dedup_of_equal_short_lines(docs):
             if line and (line in seen or len(line) >= 20 and any(len(x) >= 20 and _distance_1(line, x) for x in seen)):
                 want[d].append(k)
             seen.add(line)
-    got = {r.doc_id: list(r.dropped) for r in near_lines(docs(texts, extra=CLASHES), equal_chars=1).collect()}
+    got = {r.doc_id: list(r.dropped) for r in near_lines(docs(texts, extra=CLASHES)).collect()}
     assert got == want and want[40] == [1] and want[42] == [0]
 
 
+def test_line_dedup_of_very_long_lines(docs):
+    """Lines of 200,000 signs, an edit apart in any part of them, or two."""
+    rng = random.Random(6)
+    base = "".join(rng.choices("abcdefg h", k=200_000)).strip()
+    odd = [base]
+    for at in (0, 1, len(base) // 3, len(base) - 1):
+        odd += [base[:at] + "X" + base[at + 1:], base[:at] + base[at + 1:], base[:at] + "Y" + base[at:]]
+    odd += [base + "Z", "ZZ" + base, base[:5000] + "Q" + base[5000:90_000] + "Q" + base[90_000:]]
+    mid = "".join(rng.choices("abcdefg", k=3000))
+    odd += [mid, mid[:1500] + mid[1501:], mid[:10] + "xx" + mid[10:]]
+    got = {r.doc_id: r.n_dropped for r in near_lines(docs(odd)).collect()}
+    want, seen = {}, []
+    for i, line in enumerate(odd):
+        want[i] = int(any(line == x or _distance_1(line, x) for x in seen))
+        seen.append(line)
+    assert got == want and sum(want.values()) > 10
+
+
+@pytest.mark.parametrize("chars", [range(20, 40), range(250, 262)])
+def test_line_dedup_at_every_place(docs, chars):
+    """An edit at every place of lines of neighbouring lengths finds its line."""
+    rng = random.Random(9)
+    texts, edited = [], []
+    for n in chars:
+        line = "".join(rng.choices("abcdefghij", k=n))
+        texts.append(line)
+        for at in sorted({0, n - 1, *range(0, n, 1 if n < 60 else 23)}):
+            edited += [line[:at] + rng.choice("XYZ") + line[at + 1:], line[:at] + line[at + 1:], line[:at] + "W" + line[at:]]
+        edited.append(line + "V")
+    edited = [x for x in edited if len(x) >= 20]
+    got = {r.doc_id: r.n_dropped for r in near_lines(docs(texts + edited)).collect()}
+    assert all(got[i] == 0 for i in range(len(texts))) and all(got[i] == 1 for i in range(len(texts), len(got)))
+
+
 def test_line_dedup_runs_no_python(spark, docs):
     import contextlib
     import io
@@ -289,6 +322,61 @@ def test_resampling_separates_and_is_reproducible(spark, docs):
     assert resample(docs([]), labels).count() == 0
 
 
+def test_weights_and_draw_against_a_plain_version(spark, docs):
+    rng = random.Random(14)
+    texts = [" ".join(rng.choice(["Ab", "cd9", "e-f", "gh", "\u00e9", "x#"]) for _ in range(rng.randrange(1, 40))) for _ in range(80)] + ["", None]
+    texts += texts[:5]  # repeated rows tie
+    good = {i for i in range(80) if i % 3}
+    labels = spark.createDataFrame([(i, int(i in good)) for i in range(60)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in resample(docs(texts, extra=CLASHES), labels).collect()}
+
+    def grams(text):
+        runs = re.findall(r"[A-Za-z\u00e9]+|[0-9]+|[^A-Za-z\u00e90-9\x20\x09-\x0D]+", text or "")
+        h = Words(pa.array([" ".join(runs)])).hashes().tolist() if runs else []
+        pairs = [mix(np.array([a * 31 + b & (1 << 64) - 1], np.uint64))[0] for a, b in zip(h, h[1:])]
+        return collections.Counter(int(x) % BUCKETS for x in [*h, *pairs])
+
+    each = [grams(t) for t in texts]
+    raw, target = sum(each, collections.Counter()), sum((each[i] for i in range(60) if i in good), collections.Counter())
+    n_raw, n_target = raw.total(), target.total()
+
+    def weight(own, less=collections.Counter()):
+        w = 0.0
+        for b, n in own.items():
+            p_raw = (raw[b] + 1) / (n_raw + BUCKETS)
+            w += n * (math.log((target[b] - less[b] + BUCKETS * p_raw) / (n_target - less.total() + BUCKETS)) - math.log(p_raw))
+        return w
+
+    for i, own in enumerate(each):
+        assert got[i].log_weight == pytest.approx(weight(own), abs=1e-8)
+    noise = [got[i].perturbed - got[i].log_weight for i in range(len(texts))]
+    known = [(weight(each[i], each[i] if i in good else collections.Counter()) + noise[i], i in good) for i in range(60)]
+    point = cut_point(np.array([k[0] for k in known]), np.array([k[1] for k in known]))
+    assert {i for i, r in got.items() if r.kept} == {i for i, r in got.items() if r.perturbed >= point - 1e-9}
+
+
+def test_left_out_weights_are_those_of_the_other_rows():
+    texts = pa.array(["a b a b", "b c", "", "a b a b", "d"])
+    row, bucket, n = ngrams(texts)
+    target = np.bincount(bucket, minlength=BUCKETS).astype(float)
+    got = left_out(row, bucket, n, target, target * 3)
+    for k in range(n):
+        mine = bucket[row == k]
+        others = target - np.bincount(mine, minlength=BUCKETS)
+        assert got[k] == pytest.approx(log_ratio(others, target * 3)[mine].sum())
+
+
+def test_resampling_keeps_good_rows_without_labels(spark, docs):
+    rng = random.Random(10)
+    common, rare = [f"c{i}" for i in range(60)], [f"r{i}" for i in range(20_000)]
+    good = [" ".join(rng.choice(common if rng.random() < 0.3 else rare) for _ in range(rng.randrange(60, 240))) for _ in range(300)]
+    junk = [" ".join(rng.choice(rare) for _ in range(rng.randrange(60, 240))) for _ in range(150)]
+    labels = spark.createDataFrame([(i, int(i < 300)) for i in range(0, 450, 3)], "doc_id long, quality int")
+    kept = {r.doc_id: r.kept for r in resample(docs(good + junk), labels).collect()}
+    unseen = [kept[i] for i in range(300) if i % 3]
+    assert sum(unseen) >= 0.97 * len(unseen)
+
+
 # --- learned operators on the given tables -----------------------------------------
 
 def _labelled(spark, name):
