@@ -1,0 +1,175 @@
+"""Results kept per partition or file: sketches, skipping index, refreshed
+report; heavy hitters by summary and the skewed layout."""
+
+import functools
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from testkit import SF001, plan_text
+from tidewater.functions.timefn import with_event_hour
+from tidewater.operators import bucketing, skipping
+from tidewater.operators.refresh import partition_filter, partition_state, refresh, scan_partitions, vacuum
+from tidewater.operators.sinks import append_events
+from tidewater.operators.sketches import merge_sketches, refresh_sketches, sketch_partitions
+from tidewater.operators.stats import column_stats
+from tidewater.plans.queries import LANDED_WITH_ID
+from tidewater.sources.fixtures import event_fixture
+from tidewater.sources.landed import read_landed
+
+SMALL = T.StructType([T.StructField(n, t) for n, t in [
+    ("x", T.LongType()), ("s", T.StringType()), ("d", T.DoubleType()), ("ok", T.BooleanType()), ("day", T.StringType()), ("hr", T.IntegerType())]])
+KEYS = ("day", "hr")
+
+
+def _rows(spark, rows):
+    return spark.createDataFrame(rows, SMALL)
+
+
+def _counted(rows):
+    return rows.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("total"))
+
+
+def test_refresh_computes_new_and_changed_partitions_only(spark, scratch):
+    base = scratch("refresh")
+    root, store = f"{base}/t", f"{base}/store"
+    run = functools.partial(refresh, spark, store, root, _counted, KEYS, SMALL)
+
+    def now():
+        stored, scanned = run()
+        return {(r.day, r.hr): (r.n, r.total) for r in stored.collect()}, {(r.day, r.hr) for r in scanned.collect()}
+
+    first = [(1, "a", 0.5, True, "d1", 1), (2, "b", 1.5, False, "d1", 2), (3, None, None, None, None, 1), (4, "c", 2.0, True, "d 2:x", 1)]
+    append_events(_rows(spark, first), root, KEYS)
+    assert now() == ({("d1", 1): (1, 1), ("d1", 2): (1, 2), (None, 1): (1, 3), ("d 2:x", 1): (1, 4)}, {("d1", 1), ("d1", 2), (None, 1), ("d 2:x", 1)})
+    assert now()[1] == set()  # nothing changed, nothing scanned
+    append_events(_rows(spark, [(10, "z", 9.0, True, "d1", 2), (20, "z", 9.0, True, "d3", None)]), root, KEYS)
+    values, scanned = now()
+    assert scanned == {("d1", 2), ("d3", None)}
+    assert values == {("d1", 1): (1, 1), ("d1", 2): (2, 12), (None, 1): (1, 3), ("d 2:x", 1): (1, 4), ("d3", None): (1, 20)}
+    # a partition that is gone drops out; the new store has the rows that count
+    kept = f"{base}/kept"
+    read_landed(spark, root, schema=SMALL).where("hr = 2").write.partitionBy(*KEYS).parquet(kept)
+    stored, scanned = refresh(spark, store, kept, _counted, KEYS, SMALL)
+    assert {(r.day, r.hr): r.n for r in stored.collect()} == {("d1", 2): 2}
+    vacuum(spark, store, root, f"{base}/clean", KEYS, SMALL)
+    assert spark.read.parquet(store).count() > spark.read.parquet(f"{base}/clean").count() == 5
+
+
+def test_scan_opens_the_wanted_partitions_only(spark, scratch):
+    root = f"{scratch('scan')}/t"
+    rows = [(i, "a", 0.0, True, f"d{i % 3}" if i % 7 else None, i % 4) for i in range(200)]
+    append_events(_rows(spark, rows), root, KEYS)
+    parts = partition_state(spark, root, KEYS, SMALL).where("(day = 'd1' and hr in (1, 2)) or (day is null and hr = 3) or (day = 'd0' and hr = 0)")
+    read = scan_partitions(spark, root, parts, KEYS, SMALL)
+    want = {(d, h) for d, h in [("d1", 1), ("d1", 2), (None, 3), ("d0", 0)]}
+    assert {(r.day, r.hr) for r in read.select(*KEYS).distinct().collect()} == want
+    assert len(spark.read.schema(SMALL).parquet(root).where(partition_filter(parts, KEYS)).select("_metadata.file_path").distinct().collect()) == 4
+    assert "PartitionFilters: [(((" in plan_text(read).replace("PartitionFilters: [((((", "PartitionFilters: [(((")
+
+
+def test_merged_sketches_agree_with_a_scan(spark, scratch):
+    base = scratch("sketches")
+    root = f"{base}/t"
+    rows = with_event_hour(event_fixture(spark, SF001))
+    append_events(rows, root)
+    stored, _ = refresh_sketches(spark, f"{base}/store", root, schema=LANDED_WITH_ID)
+    merged = {r.column_name: r for r in merge_sketches(stored).collect()}
+    exact = {r.column_name: r for r in column_stats(read_landed(spark, root, schema=LANDED_WITH_ID), exact=True).collect()}
+    for name, r in merged.items():
+        e = exact[name]
+        assert abs(r.distincts - e.num_distincts) <= 0.05 * e.num_distincts, name
+        assert r.num_nulls == e.num_nulls and r.avg_col_len == e.avg_col_len and r.max_col_len == e.max_col_len
+        low = e.long_low if e.long_low is not None else e.double_low
+        assert r.low == low
+    by_date = merge_sketches(stored, by=["event_date"]).where("column_name = 'user_id'")
+    assert by_date.agg(F.sum("rows")).first()[0] == rows.count() and by_date.count() == rows.select("event_date").distinct().count()
+    plan = plan_text(merge_sketches(stored))
+    assert "store" in plan and root not in plan  # the data isn't read
+
+
+def test_sketches_of_nulls_and_odd_types(spark, scratch):
+    rows = [(None, None, None, None, "d", 1), (5, "", float("nan"), True, "d", 2), (None, None, None, False, "d", 2)]
+    made = merge_sketches(sketch_partitions(_rows(spark, rows), KEYS)).collect()
+    got = {r.column_name: (r.rows, r.num_nulls, r.low, r.distincts) for r in made}
+    assert got["x"] == (3, 2, 5.0, 1) and got["s"] == (3, 2, None, 1) and got["ok"] == (3, 1, None, 2)
+    assert got["d"][:2] == (3, 2)
+    none = merge_sketches(sketch_partitions(_rows(spark, [(None, None, None, None, "d", 1)]), KEYS)).collect()
+    assert {r.column_name: (r.distincts, r.quantiles) for r in none}["x"] == (0, None)
+
+
+# --- data-skipping index --------------------------------------------------------
+
+@pytest.fixture()
+def indexed(spark, scratch):
+    base = scratch("skip")
+    root, index = f"{base}/t", f"{base}/index"
+    rows = [(i * 37 % 1000, f"s{i % 400}" if i % 11 else None, i / 8, True, f"d{i // 100:02d}", 0) for i in range(2000)]
+    append_events(_rows(spark, rows), root, KEYS)
+    assert skipping.update_index(spark, index, root, ["x", "s", "d"], SMALL) == len({r[4] for r in rows})
+    return root, index
+
+
+@pytest.mark.parametrize("column, values, most", [("x", [37, 74], 8), ("s", ["s7", "nothing"], 8), ("d", [3.125, 99.0], 2), ("x", [-5, 10**9], 0), ("s", ["t"], 0)])
+def test_scan_reads_picked_files_only(spark, indexed, column, values, most):
+    root, index = indexed
+    full = read_landed(spark, root, schema=SMALL)
+    want = sorted(map(tuple, full.where(F.col(column).isin(values)).collect()), key=str)
+    picked = skipping.pick_files(spark, index, root, column, values, SMALL)
+    assert picked.count() <= most < 20
+    read = skipping.scan_values(spark, index, root, column, values, SMALL)
+    assert sorted(map(tuple, read.collect()), key=str) == want and read.columns == full.columns
+    assert len(read.inputFiles()) == picked.count()
+
+
+def test_files_that_are_not_indexed_are_read(spark, indexed):
+    root, index = indexed
+    append_events(_rows(spark, [(37, "new", 0.0, True, "d99", 0)]), root, KEYS)
+    read = skipping.scan_values(spark, index, root, "s", ["new"], SMALL)
+    assert [r.x for r in read.collect()] == [37] and len(read.inputFiles()) == 1
+    assert skipping.update_index(spark, index, root, ["x", "s", "d"], SMALL) == 1
+    assert skipping.update_index(spark, index, root, ["x", "s", "d"], SMALL) == 0
+    assert skipping.scan_values(spark, index, root, "s", ["new"], SMALL).count() == 1
+    assert skipping.pick_files(spark, index, root, "s", ["absent"], SMALL).count() <= 2
+
+
+def test_filters_of_several_segments(spark, scratch):
+    base = scratch("segments")
+    rows = spark.range(20_000).select((F.col("id") * 2).alias("x"), F.lit("a").alias("s"), F.lit(0.0).alias("d"), F.lit(True).alias("ok"), F.lit("d").alias("day"), F.lit(0).alias("hr"))
+    rows.coalesce(1).write.partitionBy(*KEYS).parquet(f"{base}/t")
+    skipping.update_index(spark, f"{base}/i", f"{base}/t", ["x"], SMALL)
+    assert spark.read.parquet(f"{base}/i").first()["segments"] == 5
+    pick = lambda v: skipping.pick_files(spark, f"{base}/i", f"{base}/t", "x", [v], SMALL).count()
+    assert all(pick(v) == 1 for v in (0, 17_002, 39_998))
+    assert sum(pick(v) for v in range(1, 1201, 60)) <= 3  # absent, within the bounds
+
+
+# --- heavy hitters, skewed layout -----------------------------------------------
+
+@pytest.mark.parametrize("share", [0.5, 0.1, 0.01])
+def test_heavy_values_equal_the_full_count(spark, share):
+    df = spark.range(30_000).select(F.when(F.col("id") % 9 == 0, None).when(F.col("id") % 2 == 0, 7).when(F.col("id") % 5 == 0, 8).otherwise(F.col("id")).alias("v"))
+    want = sorted(map(tuple, bucketing.skewed_values(df, "v", share).collect()), key=str)
+    assert sorted(map(tuple, bucketing.heavy_values(df, "v", share).collect()), key=str) == want
+
+
+def test_summaries_merge(spark):
+    df = spark.range(4000).select((F.col("id") % 4).alias("g"), F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("v"))
+    merged = bucketing.merge_summaries(bucketing.heavy_summary(df, "v", 0.2, ["g"]))
+    assert merged.first()["rows"] == 4000
+    assert [tuple(r)[:2] for r in bucketing.heavy_values(df, "v", 0.2, merged).collect()] == [("hot", 1334)]
+
+
+def test_a_hot_value_has_its_own_directory(spark, scratch):
+    root = f"{scratch('layout')}/t"
+    rows = [(i, "rest" if i % 3 == 0 else "a/b=c" if i % 3 == 1 else f"v{i}", 0.0, True, "d", 0) for i in range(300)] + [(-1, None, 0.0, True, "d", 0)]
+    df = _rows(spark, rows)
+    bucketing.write_skewed(df, root, "s", bucketing.heavy_values(df, "s", 0.2))
+    assert sorted(map(tuple, bucketing.read_skewed(spark, root, SMALL).collect())) == sorted(rows)
+    for value in ("rest", "a/b=c", "v2"):
+        one = bucketing.read_skewed(spark, root, SMALL, "s", value)
+        assert sorted(r.x for r in one.collect()) == [r[0] for r in rows if r[1] == value]
+    whole = bucketing.read_skewed(spark, root, SMALL, directory=True)
+    assert {r.values_of for r in whole.select("values_of").distinct().collect()} == {"rest", "=rest", "=a/b=c"}
+    assert "PartitionFilters: [" in plan_text(bucketing.read_skewed(spark, root, SMALL, "s", "rest"))

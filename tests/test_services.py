@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from testkit import SF001, local_path
+from testkit import SF001, local_path, plan_text
 from tidewater.functions.timefn import with_event_hour
 from tidewater.operators.bucketing import skewed_values
 from tidewater.operators.catalog import partition_inventory, register_landed, show_partitions, sync_partitions
@@ -328,3 +328,19 @@ def test_true_foreign_keys_have_no_orphans(spark):
     assert orphans(t("orders"), t("customer"), "o_custkey", "c_custkey").count() == 0
     assert orphans(t("customer"), t("nation"), "c_nationkey", "n_nationkey").count() == 0
     assert orphans(t("orders"), t("lineitem"), "o_orderkey", "l_orderkey").count() == 257
+
+
+def test_compaction_lists_files_without_reading_rows(spark, scratch):
+    from tidewater.operators.compaction import table_files
+
+    base, t = scratch("listing"), unique_name("listed")
+    df = spark.range(40).select(F.col("id").cast("int").alias("v"), (F.col("id") % 4).cast("string").alias("event_date"), (F.col("id") % 2).cast("int").alias("event_hour"))
+    df.repartition(3).write.partitionBy("event_date", "event_hour").parquet(f"{base}/t")
+    register_landed(spark, t, f"{base}/t", schema=df.schema)
+    sync_partitions(spark, t)
+    files = table_files(spark, t, F.col("event_date").isin("1", "2"))
+    assert {(r.event_date, r.event_hour) for r in files.collect()} == {("1", "1"), ("2", "0")}
+    plan = plan_text(files)
+    assert "parquet" not in plan.split("== Physical Plan ==")[-1].lower().replace(f"{base}/t".lower(), "").replace(".parquet", "") or "binaryFile" in plan
+    assert table_files(spark, t, F.col("event_date") == "none").count() == 0
+    spark.sql(f"DROP TABLE {t}")

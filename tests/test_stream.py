@@ -286,3 +286,32 @@ def test_publish_needs_the_kafka_connector(spark):
         assert "kafka" in str(e).lower()
     else:
         pytest.skip("spark-sql-kafka connector present")
+
+
+def test_repeated_records_land_once_and_their_state_is_bounded(spark, scratch):
+    """Twice in one run, again after a restart, and in a third run when the
+    state of the first has gone."""
+    import time
+
+    base = scratch("once")
+    env = envelope_fixture(spark, SF001).where(F.col("offset") < 40)
+
+    def land(rows, within):
+        write_replay(rows, f"{base}/topic")
+        env_in = event_envelope(spark, "replay", path=f"{base}/topic", starting="earliest", checkpoint=f"{base}/ck")
+        q = run_ingest(start_ingest(env_in, f"{base}/out", f"{base}/ck", once=True, once_within=within))
+        return [p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.stateOperators]
+
+    store = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    n = env.count()
+    assert land(env.unionByName(env), "4 seconds")[0] == n
+    land(env, "4 seconds")
+    assert read_landed(spark, f"{base}/out").count() == n
+    time.sleep(5)
+    later = envelope_fixture(spark, SF001).where("offset >= 40 and offset < 45")
+    land(later, "4 seconds")  # moves the watermark past the first records
+    time.sleep(5)
+    rows = land(envelope_fixture(spark, SF001).where("offset >= 45 and offset < 47"), "4 seconds")
+    assert rows[-1] < n
+    assert read_landed(spark, f"{base}/out").count() == n + later.count() + 6
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == store

@@ -49,7 +49,7 @@ def ingest(args) -> None:
     )
     log = MetricsLog(spark, args.metrics_root) if args.metrics_root else None
     q = start_ingest(env, args.root, args.checkpoint, every=args.every, once=args.once,
-                     engine=args.engine, query_name="ingest", rejects=args.rejects)
+                     engine=args.engine, query_name="ingest", rejects=args.rejects, once_within=args.once_within)
     run_ingest(q)
     if log:
         log.close(q)
@@ -95,6 +95,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--max-files-per-trigger", type=int)
     s.add_argument("--max-offsets-per-trigger", type=int, help="bound a Kafka micro-batch (backlog catch-up)")
     s.add_argument("--rejects", action="store_true", help="land undecodable records too, marked as rejected")
+    s.add_argument("--once-within", help="drop records delivered again within this time, e.g. '6 hours'")
     s.add_argument("--metrics-root", help="Parquet table of one row per micro-batch")
     s.set_defaults(run=ingest)
 

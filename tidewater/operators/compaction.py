@@ -7,6 +7,9 @@ so rewriting such a root in place would hide the rewrite.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,14 +17,25 @@ from pyspark.sql import types as T
 from tidewater.functions.schema import LANDED_SCHEMA, PARTITION_KEYS
 from tidewater.operators.files import list_files, partition_sizes
 
+SWAP_BATCH = 200  # partitions that are listed again together, then swapped
+SWAPS_AT_ONCE = 8
+
+
+def table_files(spark: SparkSession, table: str, where=None, keys=PARTITION_KEYS) -> DataFrame:
+    """(path, directory, length, keys) of the files behind the partitions of a
+    catalog table that ``where`` passes, now. A listing: Spark prunes the
+    partitions and names their files, no row is read. Directories are named
+    by their keys (``key=value``), as Spark's writers and MSCK have them."""
+    spark.catalog.refreshTable(table)
+    rows = spark.table(table) if where is None else spark.table(table).where(where)
+    found = sorted({unquote(p.rsplit("/", 1)[0]) for p in rows.inputFiles()})
+    return _listed(spark, found, keys)
+
 
-def table_files(src: DataFrame, keys=PARTITION_KEYS) -> DataFrame:
-    """(keys, file, size) of the files behind a scan. A catalog table's
-    partitions may lie anywhere, so this asks the scan itself: a pass over
-    file footers, which map-side aggregation reduces to a row per file."""
-    return src.select(
-        *keys, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_size").alias("_size"),
-    ).dropDuplicates([*keys, "_file"])
+def _listed(spark: SparkSession, directories: list[str], keys) -> DataFrame:
+    if not directories:
+        return spark.createDataFrame([], "path string, directory string, length long, " + ", ".join(f"`{k}` string" for k in keys))
+    return list_files(spark, directories, keys)
 
 
 def _salted_rewrite(src: DataFrame, sizes: DataFrame, keys, dst_root: str) -> None:
@@ -93,14 +107,11 @@ def _quoted(value) -> str:
     return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _state(spark: SparkSession, table: str, where, keys) -> DataFrame:
-    """Per partition: files, bytes and a fingerprint of the file set, now."""
-    spark.catalog.refreshTable(table)
-    src = spark.table(table)
-    files = table_files(src if where is None else src.where(where), keys)
-    return files.groupBy(*keys).agg(
-        F.sum("_size").alias("bytes"), F.count(F.lit(1)).alias("files"),
-        F.sum(F.xxhash64("_file", "_size").cast("decimal(38,0)")).alias("_set"))
+def _state(files: DataFrame, types: dict, keys) -> DataFrame:
+    """Per partition: files, bytes, its directories and a fingerprint of the file set."""
+    return files.groupBy(*[F.col(k).cast(types[k]).alias(k) for k in keys]).agg(
+        F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("files"), F.collect_set("directory").alias("_directories"),
+        F.sum(F.xxhash64("path", "length").cast("decimal(38,0)")).alias("_set"))
 
 
 def compact_table(
@@ -118,41 +129,54 @@ def compact_table(
     with more files than ``ceil(bytes / target)`` are rewritten into
     ``staging_root``; each is then pointed at its new directory with
     ``ALTER TABLE … PARTITION … SET LOCATION``: a metadata swap, so readers
-    switch partition by partition. Before the swaps the files are listed
+    switch partition by partition. Swaps go in batches of ``SWAP_BATCH``, a
+    few at a time, and right before each batch its directories are listed
     again: a partition whose file set changed since the rewrite read it is
-    left alone and reported, so an append is never hidden. Old files stay for
-    a later cleanup. Partitions with a null key are left as they are.
+    left alone and reported, so an append before that isn't hidden. Old files
+    stay for a later cleanup. Partitions with a null key are left as they are.
 
     Returns {"swapped": [...], "skipped": [...]}, partition keys each; both
     are bounded by the number of closed partitions, not by the data.
     """
-    spark.catalog.refreshTable(table)
+    files = table_files(spark, table, where, keys)
     src = spark.table(table).where(where)
-    picked = _with_file_bound(_state(spark, table, where, keys), target_mb).where(F.col("files") > F.col("_n"))
+    types = dict(src.dtypes)
+    picked = _with_file_bound(_state(files, types, keys), target_mb).where(F.col("files") > F.col("_n"))
     for k in keys:
         picked = picked.where(F.col(k).isNotNull())
     picked = picked.cache()
-    before = {tuple(r[k] for k in keys): (r["files"], r["_set"]) for r in picked.collect()}
+    before = {tuple(r[k] for k in keys): r for r in picked.collect()}
     out: dict[str, list[tuple]] = {"swapped": [], "skipped": []}
     if before:
         _salted_rewrite(src, picked, keys, staging_root)
-        types = dict(src.dtypes)
         # Directories as the writer named them: it escapes some key values.
         written = (list_files(spark, staging_root, keys).select("directory", *[F.col(k).cast(types[k]).alias(k) for k in keys]).distinct())
-        now = {tuple(r[k] for k in keys): (r["files"], r["_set"]) for r in _state(spark, table, where, keys).collect()}
-        for r in written.collect():
-            values = tuple(r[k] for k in keys)
-            if now.get(values) != before.get(values):
-                out["skipped"].append(values)
-                continue
-            spec = ", ".join(f"`{k}` = {_quoted(v)}" for k, v in zip(keys, values))
-            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION {_quoted(r['directory'])}")
-            out["swapped"].append(values)
+        to = sorted(((tuple(r[k] for k in keys), r["directory"]) for r in written.collect()), key=str)
+        for i in range(0, len(to), SWAP_BATCH):
+            _swap(spark, table, to[i:i + SWAP_BATCH], before, types, keys, out)
         spark.catalog.refreshTable(table)
     picked.unpersist()
     return {k: sorted(v) for k, v in out.items()}
 
 
+def _swap(spark: SparkSession, table: str, to: list[tuple], before: dict, types: dict, keys, out: dict) -> None:
+    """Point the partitions of ``to`` (values, directory) at their new
+    directories, where their files are still those of ``before``."""
+    listed = _listed(spark, sorted({d for values, _ in to for d in before[values]["_directories"]}), keys)
+    now = {tuple(r[k] for k in keys): (r["files"], r["_set"]) for r in _state(listed, types, keys).collect()}
+    same = [x for x in to if now.get(x[0]) == (before[x[0]]["files"], before[x[0]]["_set"])]
+    out["skipped"] += [x[0] for x in to if x not in same]
+
+    def alter(values: tuple, directory: str) -> None:
+        spec = ", ".join(f"`{k}` = {_quoted(v)}" for k, v in zip(keys, values))
+        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION {_quoted(directory)}")
+
+    with ThreadPoolExecutor(SWAPS_AT_ONCE) as pool:
+        for x, done in [(x, pool.submit(alter, *x)) for x in same]:
+            done.result()
+            out["swapped"].append(x[0])
+
+
 def expired(column: Column, newest: Column, days: int, fmt: str = "yyyyMMdd") -> Column:
     """The one retention rule: true where the date lies more than ``days``
     days before ``newest``. False for text that isn't a date: undated rows

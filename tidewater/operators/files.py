@@ -23,8 +23,9 @@ def partition_value(path: Column, key: str) -> Column:
     return F.when((raw != NULL_DIRECTORY) & (raw != ""), plain)
 
 
-def list_files(spark: SparkSession, root: str, keys=PARTITION_KEYS) -> DataFrame:
-    """(path, directory, length, keys as strings) of every data file under ``root``."""
+def list_files(spark: SparkSession, root: str | list[str], keys=PARTITION_KEYS) -> DataFrame:
+    """(path, directory, length, keys as strings) of every data file under
+    ``root`` (or several)."""
     files = spark.read.format("binaryFile").load(root).select("path", "length")
     return files.select(
         "path", F.regexp_replace("path", "/[^/]*$", "").alias("directory"), "length",

@@ -6,9 +6,9 @@ of the quantiles. Statistics of the table, or of any part of it, come from
 merging those rows: the data isn't read again, and after an append only its
 partitions are scanned (``refresh``).
 
-Numbers keep their type in the bounds and are doubles in the quantiles; dates
-are days, timestamps seconds since 1970. Strings have lengths. A column of
-any other type has nulls and distinct values only.
+Bounds and quantiles are doubles; NaN is a value, but in neither. Dates are
+days, timestamps seconds since 1970. Strings have lengths. A column of any
+other type has nulls and distinct values only.
 """
 
 from __future__ import annotations
@@ -31,12 +31,15 @@ def _number(field: T.StructField) -> Column | None:
     kind, c = _kind(field.dataType), F.col(f"`{field.name}`")
     if kind == "decimal":
         return c.cast("double")
+    if kind == "double":
+        return F.when(~F.isnan(c), c.cast("double"))
     return _NUMBER[kind](c).cast("double") if kind in _NUMBER else None
 
 
 def _distinct_key(field: T.StructField) -> Column:
     c = F.col(f"`{field.name}`")
-    return c if isinstance(field.dataType, (T.IntegerType, T.LongType, T.StringType)) else F.when(c.isNotNull(), F.xxhash64(c))
+    # A sketch ignores empty strings, so strings go in by hash.
+    return c if isinstance(field.dataType, (T.IntegerType, T.LongType)) else F.when(c.isNotNull(), F.xxhash64(c))
 
 
 def sketch_fields(schema: T.StructType, keys=(), columns=None) -> list[T.StructField]:

@@ -29,6 +29,7 @@ from tidewater.operators.catalog import (
 from tidewater.operators.compaction import compact, compact_table, retain
 from tidewater.operators.files import list_files, partition_sizes
 from tidewater.operators.jsonmap import map_json
+from tidewater.operators.keyindex import check_batch
 from tidewater.operators.keys import duplicate_keys, orphans
 from tidewater.operators.refresh import refresh
 from tidewater.operators.sinks import append_events, overwrite_csv, overwrite_parquet, read_csv
@@ -251,10 +252,10 @@ def malformed_rejects(spark, sf_dir):
 
 # --- streaming ---------------------------------------------------------------
 
-def _ingest(spark, topic, out, ck, rejects=False, **kw):
+def _ingest(spark, topic, out, ck, rejects=False, once_within=None, **kw):
     starting = kw.pop("starting", "earliest")
     env = event_envelope(spark, "replay", path=topic, starting=starting, checkpoint=ck, **kw)
-    return run_ingest(start_ingest(env, out, ck, once=True, keep=("key",), rejects=rejects))
+    return run_ingest(start_ingest(env, out, ck, once=True, keep=("key",), rejects=rejects, once_within=once_within))
 
 
 @query("stream_ingest", Q.with_fixture(f"SELECT {Q.LANDED_COLS} FROM fx"))
@@ -296,6 +297,21 @@ def late_data(spark, sf_dir):
     return per_hour("n").join(seen, both, "left").select(*PARTITION_KEYS, F.coalesce("n_first", F.lit(0)).alias("n_first"), "n")
 
 
+@query("stream_once", Q.with_fixture(f"SELECT {Q.LANDED_COLS} FROM fx"))
+def stream_once(spark, sf_dir):
+    """Every record is delivered twice, some in the same run and the rest
+    after a restart; each lands once."""
+    base = workspace(spark, "once")
+    topic, out, ck = f"{base}/topic", f"{base}/landed", f"{base}/ck"
+    env = envelope_fixture(spark, sf_dir)
+    some = F.col("offset") % 4 == 0
+    write_replay(env.unionByName(env.where(some)), topic)
+    _ingest(spark, topic, out, ck, once_within="1 day")
+    write_replay(env.where(~some), topic)
+    _ingest(spark, topic, out, ck, once_within="1 day")
+    return _key_to_id(read_landed(spark, out, schema=LANDED_WITH_KEY))
+
+
 @query("offset_start", Q.with_fixture(
     f"SELECT {Q.LANDED_COLS} FROM fx WHERE ts >= TIMESTAMP '{ARRIVAL_SPLIT}'"))
 def offset_start(spark, sf_dir):
@@ -588,6 +604,21 @@ def pk_check(spark, sf_dir):
     return duplicate_keys(read_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@query("pk_incremental", """
+SELECT k AS o_custkey_or_null, o_orderpriority, count(*) AS n_rows, CASE WHEN k IS NULL THEN 'null_key' ELSE 'duplicate' END AS problem
+FROM (SELECT CASE WHEN o_orderkey % 97 <> 0 THEN o_custkey END AS k, o_orderpriority FROM orders) GROUP BY k, o_orderpriority HAVING k IS NULL OR count(*) > 1""")
+def pk_incremental(spark, sf_dir):
+    """Orders as if customer and priority were a key, checked in three
+    batches against the index of the keys before: the last verdicts on each
+    key are those of one check of all orders."""
+    index, key = workspace(spark, "key-index"), ["o_custkey_or_null", "o_orderpriority"]
+    orders = read_table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 97 != 0, F.col("o_custkey")).alias(key[0]), key[1], F.pmod(F.xxhash64("o_orderkey"), F.lit(3)).alias("batch"))
+    found = [check_batch(spark, index, orders.where(F.col("batch") == b), key).withColumn("batch", F.lit(b)) for b in range(3)]
+    last = F.max_by(F.struct("n_rows", "problem"), "batch").alias("v")
+    return functools.reduce(DataFrame.unionAll, found).groupBy(*key).agg(last).select(*key, "v.*")
+
+
 @query("fk_check", """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority
 FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""")
@@ -702,7 +733,8 @@ def _sql(text):
     return run
 
 
-for _name, _text in (("sql_s1", Q.S1), ("sql_s2", Q.S2), ("sql_s3", Q.S3), ("sql_s4", Q.S4)):
+for _name, _text in (("sql_s1", Q.S1), ("sql_s2", Q.S2), ("sql_s3", Q.S3), ("sql_s4", Q.S4), ("sql_grouping_sets", Q.S6), ("sql_rollup", Q.S7),
+                     ("sql_top_in_groups", Q.S8), ("sql_exists", Q.S9), ("sql_correlated", Q.S10), ("sql_set_operations", Q.S11), ("sql_not_in", Q.S12)):
     query(_name, _text)(_sql(_text))
 
 

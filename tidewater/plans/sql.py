@@ -120,3 +120,70 @@ SELECT event_date, event_hour, event_type,
 FROM {table}
 GROUP BY event_date, event_hour, event_type
 """
+
+# Plan shapes beyond S1-S5, run as they are by Spark and DuckDB.
+
+# Grouping sets: Expand below one aggregate.
+S6 = f"""
+SELECT l_returnflag, l_linestatus, CAST(year(l_shipdate) AS INTEGER) AS ship_year,
+       CAST(grouping(l_returnflag) AS INTEGER) AS g_flag, CAST(grouping(l_linestatus) AS INTEGER) AS g_status, CAST(grouping(year(l_shipdate)) AS INTEGER) AS g_year,
+       count(*) AS n_lines, {_sum(_net())} AS revenue
+FROM lineitem
+GROUP BY GROUPING SETS ((l_returnflag, l_linestatus, year(l_shipdate)), (l_returnflag, l_linestatus), (year(l_shipdate)), ())
+"""
+
+# Rollup over a join, from order to region.
+S7 = f"""
+SELECT r.r_name, n.n_name, o.o_orderpriority, count(*) AS n_orders, {_sum("CAST(o.o_totalprice AS DECIMAL(12, 2))")} AS total
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey
+GROUP BY ROLLUP (r.r_name, n.n_name, o.o_orderpriority)
+"""
+
+# The first orders of each group: a limit per group below the window.
+S8 = """
+SELECT c_nationkey, rank, o_orderkey, CAST(total AS DOUBLE) AS total
+FROM (
+  SELECT c.c_nationkey, o.o_orderkey, CAST(o.o_totalprice AS DECIMAL(12, 2)) AS total,
+         CAST(row_number() OVER (PARTITION BY c.c_nationkey ORDER BY CAST(o.o_totalprice AS DECIMAL(12, 2)) DESC, o.o_orderkey) AS INTEGER) AS rank
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey) ranked
+WHERE rank <= 5
+"""
+
+# Correlated EXISTS and NOT EXISTS: semi and anti joins.
+S9 = """
+SELECT o.o_orderpriority, count(*) AS n_orders
+FROM orders o
+WHERE EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_discount >= 0.05 AND l.l_shipdate >= o.o_orderdate)
+  AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_returnflag = 'R' AND l.l_quantity > 45)
+GROUP BY o.o_orderpriority
+"""
+
+# A correlated scalar subquery: an aggregate by the correlated key, joined.
+S10 = f"""
+SELECT l.l_suppkey, count(*) AS n_lines, {_sum(_net("l."))} AS revenue
+FROM lineitem l
+WHERE l.l_quantity < (SELECT 0.2 * avg(i.l_quantity) FROM lineitem i WHERE i.l_partkey = l.l_partkey)
+GROUP BY l.l_suppkey
+"""
+
+# Set operations, of sets and of bags.
+S11 = """
+SELECT 'both' AS part, k AS custkey, count(*) AS n FROM (
+  SELECT c_custkey AS k FROM customer WHERE c_mktsegment = 'BUILDING' INTERSECT SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') x GROUP BY k
+UNION ALL
+SELECT 'customer only', k, count(*) FROM (SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders) x GROUP BY k
+UNION ALL
+SELECT 'both, as bags', k, count(*) FROM (
+  SELECT o_custkey AS k FROM orders WHERE o_orderpriority = '1-URGENT' INTERSECT ALL SELECT o_custkey FROM orders WHERE o_orderpriority = '2-HIGH') x GROUP BY k
+UNION ALL
+SELECT 'more urgent than high', k, count(*) FROM (
+  SELECT o_custkey AS k FROM orders WHERE o_orderpriority = '1-URGENT' EXCEPT ALL SELECT o_custkey FROM orders WHERE o_orderpriority = '2-HIGH') x GROUP BY k
+"""
+
+# NOT IN over a column that may hold nulls, and IN with several columns.
+S12 = """
+SELECT s.s_suppkey, s.s_nationkey
+FROM supplier s
+WHERE s.s_suppkey NOT IN (SELECT CASE WHEN l.l_discount >= 0 THEN l.l_suppkey END FROM lineitem l WHERE l.l_shipdate >= DATE '1998-06-01' AND l.l_quantity >= 50 AND l.l_discount >= 0.1)
+  AND (s.s_suppkey, s.s_nationkey) IN (SELECT l.l_suppkey, c.c_nationkey FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN customer c ON c.c_custkey = o.o_custkey)
+"""

@@ -7,6 +7,10 @@ stream instead of printing each record on the executors; they appear in
 sink with a checkpoint: a restart continues where the last committed batch
 ended and never lands a batch twice. There is no watermark: a late event
 lands in the directory of its own (old) date.
+
+Delivery is at least once: a producer that retries, or a topic that is copied
+or replayed, sends a record again with the same place or under a new one.
+``delivered_once`` keeps the first of the records with equal keys.
 """
 
 from __future__ import annotations
@@ -30,6 +34,23 @@ REJECTED = "rejected"
 ENVELOPE_PLACE = ("topic", "partition", "offset")
 
 
+#: Where the state of a deduplicating query lives: on the executors' disks,
+#: backed up in the checkpoint, not in their heaps.
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+ARRIVAL = "_arrived"
+
+
+def delivered_once(envelope: DataFrame, within: str, keys=ENVELOPE_PLACE) -> DataFrame:
+    """The stream with the first record of each ``keys`` (by default its
+    place: topic, partition, offset) that arrives, where repeats come within
+    ``within`` of it. The state has one row per record of that time.
+
+    The watermark is on the time of arrival, not of the event: no record is
+    ever late, however old its event is."""
+    arrived = envelope.withColumn(ARRIVAL, F.current_timestamp()).withWatermark(ARRIVAL, within)
+    return arrived.dropDuplicatesWithinWatermark(list(keys)).drop(ARRIVAL)
+
+
 def ingest_frame(envelope: DataFrame, keep=(), engine: str = "auto", metrics: str = METRICS_NAME,
                  rejects: bool = False) -> DataFrame:
     """Decoded events with ``event_hour``; rejects are counted, then dropped.
@@ -64,6 +85,7 @@ def start_ingest(
     query_name: str | None = None,
     rejects: bool = False,
     spread: int | None = None,
+    once_within: str | None = None,
 ) -> StreamingQuery:
     """Start landing the stream under ``root/event_date=…/event_hour=…``.
 
@@ -76,7 +98,12 @@ def start_ingest(
     and ``read_rejects`` read the two. ``spread`` is for backfills: each
     micro-batch is shuffled by date, hour and a salt of that many values, so
     a partition gets at most ``spread`` files per batch and not one per task.
+
+    ``once_within`` drops records that are delivered again within that time
+    (``delivered_once``), also over restarts; their state is kept in RocksDB.
     """
+    if once_within:
+        envelope = delivered_once(envelope, once_within)
     frame = ingest_frame(envelope, keep, engine, rejects=rejects)
     keys = (REJECTED, *PARTITION_KEYS) if rejects else PARTITION_KEYS
     if spread:
@@ -92,7 +119,16 @@ def start_ingest(
     if query_name:
         w = w.queryName(query_name)
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime=every)
-    return w.start()
+    if not once_within:
+        return w.start()
+    # A query takes the session's settings when it starts; the session keeps its own.
+    conf = envelope.sparkSession.conf
+    before = conf.get(STATE_STORE[0], None)
+    conf.set(*STATE_STORE)
+    try:
+        return w.start()
+    finally:
+        conf.set(STATE_STORE[0], before) if before is not None else conf.unset(STATE_STORE[0])
 
 
 def _ingested_schema(extra: T.StructType | None = None) -> T.StructType:
