@@ -11,7 +11,7 @@ import pytest
 from tests_llm_util import CLASHES, words
 from tidewater.llm.components import components
 from tidewater.llm.exact import drop_exact, exact_groups, tree_merge, digests
-from tidewater.llm.neardup import dart_signatures, drop_near, near_classes, shingles, units_beside
+from tidewater.llm.neardup import _grid_links, _overlaps, dart_signatures, drop_near, near_classes, shingles, signatures, units_beside
 from tidewater.llm.common import written
 
 EDGE = ["a b", "a  b", "a\tb", None, "", " ", "a b c", "a b", "x" * 50_000, "é ü", "é\x0bü", "\x1c", "a b"]
@@ -181,6 +181,51 @@ def test_recall_among_scattered_edits(docs):
     assert lost <= len(texts) * 0.005
 
 
+def test_no_link_is_lost_in_a_large_bucket(docs):
+    """Pairs just above 0.8 among 200 documents just below it to all the others:
+    no document is near enough to many to stand for them."""
+    rng = random.Random(8)
+    base, texts = words(rng, 600), []
+    for k in range(100):
+        sites = rng.sample(range(2, 600, 5), 15)
+        for j in range(2):
+            w = list(base)
+            for i, s in enumerate(sites[:3] + sites[3 + 6 * j:9 + 6 * j]):
+                w[s] = f"e{k}_{i}" if i < 3 else f"e{k}_{j}_{i}"
+            texts.append(w)
+    sets = [frozenset(zip(*[w[i:] for i in range(5)])) for w in texts]
+    links = [(i, j) for j in range(200) for i in range(j) if (m := len(sets[i] & sets[j])) / (len(sets[i]) + len(sets[j]) - m) >= 0.8]
+    got = {r.doc_id: r.class_id for r in near_classes(docs([" ".join(w) for w in texts])).collect()}
+    assert 100 <= len(links) < 130 and len(set(got.values())) > 70
+    assert [(i, j) for i, j in links if got[i] != got[j]] == []
+
+
+def test_the_grid_compares_every_pair_of_a_bucket(spark, docs):
+    """In blocks of about 4 documents, or of few units: the links of all pairs of a bucket."""
+    rng = random.Random(4)
+    base = words(rng, 60)
+    texts = [" ".join(["Hi"] * 12 + _edited(rng, base, rng.randrange(5))) for _ in range(40)] + ["a b c"]
+    sets = [_weighted(t) for t in texts]
+    want = {(i, j) for i in range(41) for j in range(i + 1, 41)
+            if (m := sum((sets[i] & sets[j]).values())) / (sum(sets[i].values()) + sum(sets[j].values()) - m) >= 0.8}
+    rows = signatures(docs(texts), "count")
+    ids = {r.rid: r.doc_id for r in rows.collect()}
+    two = rows.selectExpr("explode(array(1L, 2L)) AS h", "rid")
+    roots = rows.selectExpr("rid AS node", "rid AS root")
+    for blocks in ({}, {"docs": 4}, {"units": 300}):
+        got = _grid_links(two, roots, rows.select("rid", "z", "size"), "count", 0.8, **blocks).collect()
+        assert sorted(tuple(sorted((ids[r.a], ids[r.b]))) for r in got) == sorted(want) and 20 < len(want) < 780
+
+
+def test_overlaps_count_copies():
+    import pyarrow as pa
+
+    texts = ["Hi " * 40, "Hi " * 30, "a b c d e f", "b c d e f g", "x"]
+    sets = [_weighted(t) for t in texts]
+    got = _overlaps(pa.array(texts), "count", np.array([0, 2]), np.array([1, 3, 4]))
+    assert got.tolist() == [[sum((sets[i] & sets[j]).values()) for j in (1, 3, 4)] for i in (0, 2)] == [[26, 0, 0], [0, 1, 0]]
+
+
 def test_units_beside_a_pivot():
     def weighted(**w):
         return np.array(sorted(map(ord, w)), np.uint64), np.array([w[k] for k in sorted(w)], float)

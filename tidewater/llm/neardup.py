@@ -15,27 +15,26 @@ probability below 1e-5.
 
 Documents with equal sets are one class from the start and one of them goes
 on. In each band bucket the documents are compared with one of least size
-(its pivot), exactly, and links give classes. A bucket that still holds
-several classes is refined. Of two similar documents in it, not both similar
-to the pivot, both hold some unit (an element, or one more of its copies) that
-the pivot lacks: if x and y overlap by more than 4/9 of |x| + |y|, as they
-must at 0.8, and all of that lay in a pivot z no larger than either, then both
-would overlap z by 4/9 of |x| + |z| and |y| + |z|, so be similar to it. So
-what a pivot has is taken away, and documents that share one of the
-``UNITS`` units of least hash that are left in each form the next buckets,
-with pivots of their own. A template that many unlike documents share is gone
-with the first pivot.
-
-What is left are documents that differ by scattered edits, where any pivot
-lacks something that the others share. Those in buckets that still hold
-several classes get deep bands: ``DEEP_BANDS`` of ``DEEP_ROWS`` coordinates,
-of which a pair at 0.8 shares one with 0.995, a pair at 0.9 with 1 - 1e-13
-(one at 0.6 with 0.09). In each, all are compared with ``DEEP_PIVOTS`` drawn
-ones; a pair shares several deep bands, each with other pivots. So every step
-makes pairs with pivots only, in number as the rows of the buckets. README has
-the recall measured. ``exact`` takes units without a limit and goes on with
-them until no bucket holds several classes, which loses nothing that shares a
-band, at the cost of as many rounds as such a group has pivots.
+(its pivot), exactly, and links give classes. Buckets that still hold several
+classes are compared in full: every two documents of such a bucket, in a grid
+of blocks. A bucket is dealt by hash into chunks of about ``BLOCK_DOCS``
+documents and ``BLOCK_UNITS`` units at most, and each pair of chunks is a
+group of its own, so what a task holds doesn't grow with the bucket; the
+overlaps of a block are one product of incidence matrices. Buckets of the same
+documents (128-bit fingerprints) are compared once. Nothing that shares a band
+is lost, whatever the size of the bucket. The number of comparisons is
+quadratic in the size of an open bucket; README has the figures.
+
+``exact`` refines open buckets by units instead of the grid. Of two similar
+documents in a bucket, not both similar to the pivot, both hold some unit (an
+element, or one more of its copies) that the pivot lacks: if x and y overlap
+by more than 4/9 of |x| + |y|, as they must at 0.8, and all of that lay in a
+pivot z no larger than either, then both would overlap z by 4/9 of |x| + |z|
+and |y| + |z|, so be similar to it. So what a pivot has is taken away, and
+documents that share a unit that is left form the next buckets, with pivots of
+their own, until no bucket holds several classes. That loses nothing either,
+compares less where unlike documents share a template, and takes as many
+rounds as a group of scattered edits has pivots.
 
 Inputs: null text counts as empty; a document without words is a class of its
 own; one of one to four words has one shingle, all its words; repeated rows
@@ -60,10 +59,8 @@ from tidewater.llm.words import Words, mix, uniform
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 30, 5
-UNITS = 32  # units a document is refined by beside a pivot
-DEEP_BANDS, DEEP_ROWS = 120, 14
-DEEP_PIVOTS = 4  # documents of a deep bucket that the others are compared with
-DEEP_SLICE = 64  # documents at a time: each makes some ten thousand darts for the deep bands
+BLOCK_DOCS, BLOCK_UNITS = 512, 1 << 19  # of a chunk of an open bucket; a block of the grid holds two chunks
+GRID_COLUMNS = 2048  # units of a block that are multiplied at a time
 SLICE_ROWS = 256  # documents at a time: each makes some thousand darts, however short it is
 SEED = 0x51ED270B
 _BASE_CLASS = -6  # darts of ranks below 2**-6 are made together
@@ -272,11 +269,14 @@ def _classes(docs: DataFrame, weights: str = "count", least: float = SIMILARITY,
     while True:
         # Every document of a bucket beside its pivot.
         beside = buckets.where("rid <> pivot.rid").select(F.col("pivot.rid").alias("a"), F.col("rid").alias("b")).distinct()
-        compared = written(_compared(beside, texts, weights, least, None if exact else UNITS), f"compared-{turn}")
-        found = compared.where("alike").select("a", "b")
+        if exact:
+            compared = written(_compared(beside, texts, weights, least, None), f"compared-{turn}")
+            found = compared.where("alike").select("a", "b")
+        else:
+            found = written(similar(beside, texts, weights, least), "pairs")
         roots = written(components(found if roots is None else _stars(roots).unionByName(found)), f"roots-{turn}")
         open_ = written(_several(_rooted(buckets, roots)), f"open-{turn}")
-        if open_.isEmpty():
+        if not exact or open_.isEmpty():
             break
         # Finer buckets, by the units that the pivots of open ones lack.
         still = open_.select(F.col("pivot.rid").alias("a"), F.col("rid").alias("b")).distinct()
@@ -285,19 +285,11 @@ def _classes(docs: DataFrame, weights: str = "count", least: float = SIMILARITY,
         pivots = (sized.groupBy("h").agg(F.min(F.struct("size", "rid", "root")).alias("pivot"), F.min("root").alias("x"), F.max("root").alias("y"))
                   .where("x <> y").drop("x", "y"))
         turn += 1
-        buckets = written(sized.join(pivots, "h").select("h", "rid", "size", "root", "pivot"), f"buckets-{turn}")
-        if exact:
-            buckets = buckets.select("h", "rid", "size", F.struct("pivot.size", "pivot.rid").alias("pivot"))
-            continue
-        # Once by units, then by deep bands.
-        other = buckets.where((F.col("root") != F.col("pivot.root")) & (F.col("pivot.size") >= least * F.col("size")))
-        found = written(similar(other.select(F.col("pivot.rid").alias("a"), F.col("rid").alias("b")).distinct(), texts, weights, least), f"pairs-{turn}")
-        roots = written(components(_stars(roots).unionByName(found)), f"roots-{turn}")
-        open_ = written(_several(_rooted(buckets.select("h", "rid", F.struct("pivot.size", "pivot.rid").alias("pivot")), roots)), f"open-{turn}")
-        if not open_.isEmpty():
-            found = written(similar(_deep_pairs(texts, open_, roots, weights, least), texts, weights, least), "pairs-deep")
-            roots = written(components(_stars(roots).unionByName(found)), "roots-deep")
-        break
+        buckets = (written(sized.join(pivots, "h").select("h", "rid", "size", "pivot"), f"buckets-{turn}")
+                   .select("h", "rid", "size", F.struct("pivot.size", "pivot.rid").alias("pivot")))
+    if not open_.isEmpty():
+        found = written(_grid_links(open_, roots, texts, weights, least), "links")
+        roots = written(components(_stars(roots).unionByName(found)), "roots-grid")
 
     of = member.join(roots, F.col("rep") == F.col("node"), "left").select("rid", "doc_id", "k1", "k2", F.coalesce("root", "rep").alias("root"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")
@@ -306,27 +298,55 @@ def _classes(docs: DataFrame, weights: str = "count", least: float = SIMILARITY,
                                           (F.col("first.rid") == F.col("rid")).alias("kept"), "k1", "k2")
 
 
-def _deep_pairs(texts: DataFrame, open_: DataFrame, roots: DataFrame, weights: str, least: float) -> DataFrame:
-    """Pairs (a, b) of documents of open buckets, of different classes, that
-    share a deep band where a is one of ``DEEP_PIVOTS`` drawn ones."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo in range(0, b.num_rows, DEEP_SLICE):
-                part = b.slice(lo, DEEP_SLICE)
-                held = pa.array([_ZSTD.decompress(z.as_py()) for z in part.column("z")], pa.binary()).cast(pa.string())
-                row, element, weight, n = shingles(held, weights)
-                hashes = _band_hashes(dart_signatures(element, weight, row, n, DEEP_BANDS * DEEP_ROWS, SEED + 1), DEEP_BANDS, DEEP_ROWS)
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in ("rid", "size", "root")] + [pa.array(list(hashes), pa.list_(pa.int64()))], names=["rid", "size", "root", "bands"])
-
-    still = _rooted(texts.join(open_.select("rid").distinct(), "rid", "left_semi"), roots).select("rid", "size", "root", "z")
-    banded = written(still.mapInArrow(run, "rid long, size double, root long, bands array<long>"), "deep-bands").select("rid", "size", "root", F.explode("bands").alias("h"))
-    drawn = [F.min(F.struct(F.xxhash64("rid", "h", F.lit(k)).alias("draw"), "rid", "size", "root")).alias(f"p{k}") for k in range(DEEP_PIVOTS)]
-    pivots = banded.groupBy("h").agg(F.min("root").alias("x"), F.max("root").alias("y"), *drawn).where("x <> y").drop("x", "y")
-    drawn_all = F.array_distinct(F.array(*[f"p{k}" for k in range(DEEP_PIVOTS)]))
-    # A document meets the pivots of other classes and of a fitting size.
-    fit = F.filter(drawn_all, lambda p: (p["root"] != F.col("root")) & (F.least(F.col("size"), p["size"]) >= least * F.greatest(F.col("size"), p["size"])))
-    met = banded.join(pivots, "h").select("rid", F.explode(F.transform(fit, lambda p: p["rid"])).alias("p"))
-    return met.select(F.least("rid", "p").alias("a"), F.greatest("rid", "p").alias("b")).distinct()
+def _grid_links(open_: DataFrame, roots: DataFrame, texts: DataFrame, weights: str, least: float,
+                docs: int = BLOCK_DOCS, units: int = BLOCK_UNITS) -> DataFrame:
+    """Links (a, b) between the classes so far of all similar documents that
+    share an open bucket: every pair of each bucket, in blocks."""
+    def run(table: pa.Table) -> pa.Table:
+        held = pa.array([_ZSTD.decompress(z) for z in table.column("z").to_pylist()], pa.binary()).cast(pa.string())
+        root, chunk = (table.column(c).to_numpy() for c in ("root", "chunk"))
+        left = np.flatnonzero(chunk == chunk.min())
+        right = np.flatnonzero(chunk == chunk.max())
+        alike = _overlaps(held, weights, left, right)
+        size = table.column("size").to_numpy()
+        total = size[left][:, None] + size[right][None, :] - alike
+        i, j = np.nonzero((alike / total >= least) & (root[left][:, None] != root[right][None, :]))
+        a, b = root[left[i]], root[right[j]]
+        links = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+        return pa.table({"a": pa.array(links[0], pa.int64()), "b": pa.array(links[1], pa.int64())})
+
+    rows = _rooted(open_.select("h", "rid").join(texts.select("rid", "size"), "rid"), roots)
+    buckets = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("held"),
+                                    F.sum(F.xxhash64("rid").cast("decimal(38,0)")).alias("f1"), F.bit_xor(F.xxhash64("rid", F.lit(SEED))).alias("f2"))
+    once = (buckets.groupBy("n", "f1", "f2").agg(F.min(F.struct("h", "held")).alias("x"))
+            .select("x.h", F.greatest(F.ceil(F.col("n") / docs), F.ceil(F.col("x.held") / units)).alias("chunks")))
+    dealt = rows.join(once, "h").withColumn("chunk", F.pmod(F.xxhash64("rid", "h"), F.col("chunks")))
+    blocks = (dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
+              .select("h", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "rid", "size", "root"))
+    full = blocks.join(texts.select("rid", "z").hint("merge"), "rid").select("h", "lo", "hi", "chunk", "size", "root", "z")
+    return full.groupBy("h", "lo", "hi").applyInArrow(run, "a long, b long").distinct()
+
+
+def _overlaps(texts: pa.Array, weights: str, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Units in common of each text at ``left`` with each at ``right``."""
+    row, element, weight, rows = shingles(texts, weights)
+    copies = weight.astype(np.int64)
+    which = np.repeat(np.arange(len(element)), copies)
+    copy = np.arange(len(which)) - np.repeat(np.cumsum(copies) - copies, copies)
+    _, unit, held = np.unique(mix(mix(element[which]) + copy.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_inverse=True, return_counts=True)
+    # Units of one text alone are no overlap; the others by number.
+    shared = held[unit] > 1
+    number = np.cumsum(held > 1) - 1
+    at, owner = number[unit[shared]], row[which[shared]]
+    order = np.argsort(at, kind="stable")
+    at, owner = at[order], owner[order]
+    common = np.zeros((len(left), len(right)))
+    for lo in range(0, int(at[-1]) + 1 if len(at) else 0, GRID_COLUMNS):
+        some = slice(*np.searchsorted(at, [lo, lo + GRID_COLUMNS]))
+        held_by = np.zeros((rows, min(GRID_COLUMNS, int(at[-1]) + 1 - lo)), np.float32)
+        held_by[owner[some], at[some] - lo] = 1
+        common += held_by[left] @ held_by[right].T
+    return common
 
 
 def _stars(roots: DataFrame) -> DataFrame:
