@@ -145,6 +145,39 @@ def test_filters_of_several_segments(spark, scratch):
     assert sum(pick(v) for v in range(1, 1201, 60)) <= 3  # absent, within the bounds
 
 
+def test_index_of_files_read_by_several_tasks(spark, scratch):
+    """Parts of a file are put together; NaN is the greatest number; nulls are
+    in no filter. No value is exploded to its bits, sorted or joined by sorting."""
+    base = scratch("parts")
+    value = F.when(F.col("id") % 7 != 0, F.col("id"))
+    d = F.when(F.col("id") == 30_000, F.lit(float("nan"))).otherwise(value / 4)
+    rows = spark.range(60_000).select(value.alias("x"), F.concat(F.lit("é"), value).alias("s"), d.alias("d"), F.lit(True).alias("ok"),
+                                      F.concat(F.lit("d"), F.col("id") % 2).alias("day"), F.lit(0).alias("hr"))
+    rows.repartition("day").write.option("parquet.block.size", 65_536).partitionBy(*KEYS).parquet(f"{base}/t")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        skipping.update_index(spark, f"{base}/i", f"{base}/t", ["x", "s", "d"], SMALL)
+        scan = spark.read.schema(SMALL).parquet(f"{base}/t")
+        plan = plan_text(skipping._index_rows(scan, {"x": "long", "s": "text", "d": "double"}), "simple")
+        assert scan.rdd.getNumPartitions() > 2
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert "bitmap_construct_agg" not in plan and "SortMergeJoin" not in plan and "Generate" not in plan
+    got = {(r["_file"].split("day=")[1][:2], r["column"]): r for r in spark.read.parquet(f"{base}/i").collect()}
+    for k in (0, 1):
+        held = [i for i in range(k, 60_000, 2) if i % 7]
+        assert {(got[f"d{k}", c]["rows"], got[f"d{k}", c]["nulls"], got[f"d{k}", c]["segments"], len(got[f"d{k}", c]["bits"])) for c in "xs"} == {(30_000, 30_000 - len(held), 8, 8)}
+        assert (got[f"d{k}", "x"]["long_low"], got[f"d{k}", "x"]["long_high"]) == (held[0], held[-1]) and got[f"d{k}", "x"]["text_low"] is None
+        assert (got[f"d{k}", "s"]["text_low"], got[f"d{k}", "s"]["text_high"]) == (min(f"é{i}" for i in held), max(f"é{i}" for i in held))
+        high = got[f"d{k}", "d"]["double_high"]
+        assert got[f"d{k}", "d"]["double_low"] == held[0] / 4 and (high != high if k == 0 else high == held[-1] / 4)
+        # The bits are those of a filter set value by value.
+        bits = spark.createDataFrame([(i,) for i in held], "v long").select(F.explode(F.array(*[skipping._position(F.col("v"), h, F.lit(8)) for h in range(skipping.HASHES)])).alias("at")).distinct()
+        assert sum(b.bit_count() for seg in got[f"d{k}", "x"]["bits"] for b in seg) == bits.count()
+        assert all(got[f"d{k}", "x"]["bits"][r["at"] // 32_768][r["at"] % 32_768 // 8] >> r["at"] % 8 & 1 for r in bits.collect())
+
+
 # --- heavy hitters, skewed layout -----------------------------------------------
 
 @pytest.mark.parametrize("share", [0.5, 0.1, 0.01])

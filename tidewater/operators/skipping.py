@@ -9,14 +9,19 @@ index costs time, not rows.
 
 A filter has ``BITS_PER_ROW`` bits a row of its file, in segments of 32,768
 bits (Spark's bitmaps), and ``HASHES`` of them set per value; about 2 % of the
-files that lack a value are picked. Bitmaps are built by map-side
-aggregation: what is shuffled is bitmaps, not values.
+files that lack a value are picked. A task sets the bits of the file it
+reads, one file after the other: it holds one filter per column, and what is
+sorted and shuffled is bitmaps, not values.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,11 +29,19 @@ from pyspark.sql import types as T
 from tidewater.functions.schema import LANDED_SCHEMA
 from tidewater.operators.files import list_files
 from tidewater.operators.refresh import read_store
+from tidewater.session import ship_package
 
 BITS_PER_ROW = 8
 HASHES = 4
 SEGMENT = 32_768
 _BOUNDS = {"long": "bigint", "double": "double", "text": "string"}
+_ENDS = [f"{k}_{end}" for k in _BOUNDS for end in ("low", "high")]
+_PARTS = ("_file string, column string, rows bigint, segments bigint, filled bigint, "
+          + "".join(f"{n} {_BOUNDS[n.split('_')[0]]}, " for n in _ENDS) + "segment bigint, bitmap binary")
+_PARTS_ARROW = pa.schema([("_file", pa.string()), ("column", pa.string()), ("rows", pa.int64()), ("segments", pa.int64()), ("filled", pa.int64()),
+                          *[(n, {"long": pa.int64(), "double": pa.float64(), "text": pa.string()}[n.split("_")[0]]) for n in _ENDS],
+                          ("segment", pa.int64()), ("bitmap", pa.binary())])
+_SENT = 256  # bitmaps in a batch
 
 
 def _name(path: Column) -> Column:
@@ -51,26 +64,90 @@ def _position(value: Column, i, segments: Column) -> Column:
     return F.pmod(F.xxhash64(value, F.lit(i)), segments * SEGMENT)
 
 
+def _ends(values: pa.Array, kind: str) -> tuple:
+    """Least and greatest of values without nulls; NaN is the greatest, as in Spark."""
+    if kind != "double":
+        return tuple(x.as_py() for x in pc.min_max(values).values())
+    v = values.to_numpy()
+    numbers = v[~np.isnan(v)]
+    return (float(numbers.min()) if len(numbers) else np.nan), (float(numbers.max()) if len(numbers) == len(v) else np.nan)
+
+
+class _FilePart:
+    """Facts and filters of the rows of one file that a task has read so far."""
+
+    def __init__(self, file: str, segments: int, columns: dict[str, str]):
+        self.file, self.segments, self.columns, self.rows = file, segments, columns, 0
+        self.filled = [0] * len(columns)
+        self.ends = [[] for _ in columns]
+        self.bits = [np.zeros(segments * SEGMENT // 8, np.uint8) for _ in columns]
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        self.rows += batch.num_rows
+        for i, kind in enumerate(self.columns.values()):
+            values = batch.column(f"_v{i}").drop_null()
+            if not len(values):
+                continue
+            self.filled[i] += len(values)
+            found = _ends(values, kind)
+            self.ends[i] = [found] if not self.ends[i] else [self._wider(self.ends[i][0], found)]
+            for h in range(HASHES):
+                at = batch.column(f"_p{i}_{h}").drop_null().to_numpy()
+                np.bitwise_or.at(self.bits[i], at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+
+    @staticmethod
+    def _wider(x: tuple, y: tuple) -> tuple:
+        last = lambda v: (v != v, v)
+        return min(x[0], y[0], key=last), max(x[1], y[1], key=last)
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        """A row of facts per column, and one per segment with bits."""
+        def sent(rows: list[dict]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([{"_file": self.file, **r} for r in rows], _PARTS_ARROW)
+
+        facts = []
+        for i, (column, kind) in enumerate(self.columns.items()):
+            low, high = self.ends[i][0] if self.ends[i] else (None, None)
+            facts.append({"column": column, "rows": self.rows, "segments": self.segments, "filled": self.filled[i], f"{kind}_low": low, f"{kind}_high": high})
+        yield sent(facts)
+        for i, column in enumerate(self.columns):
+            maps = self.bits[i].reshape(self.segments, SEGMENT // 8)
+            some = np.flatnonzero(maps.any(axis=1))
+            for lo in range(0, len(some), _SENT):
+                yield sent([{"column": column, "segment": int(s), "bitmap": maps[s].tobytes()} for s in some[lo:lo + _SENT]])
+
+
 def _index_rows(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
     """(file, column, rows, nulls, bounds, segments, bits) of a file scan."""
-    rows = rows.select(_name(F.col("_metadata.file_path")).alias("_file"), *[F.col(c).cast(_BOUNDS[k]).alias(f"_v{i}") for i, (c, k) in enumerate(columns.items())])
-    facts = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("rows"), *[x for i in range(len(columns)) for x in (
-        F.count(f"_v{i}").alias(f"_n{i}"), F.min(f"_v{i}").alias(f"_lo{i}"), F.max(f"_v{i}").alias(f"_hi{i}"))])
-    facts = facts.withColumn("segments", F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("rows") * BITS_PER_ROW / SEGMENT)))
-    sized = rows.join(facts.select("_file", "segments"), "_file")
-    bits = sized.select("_file", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.when(F.col(f"_v{i}").isNotNull(), F.array(*[_position(F.col(f"_v{i}"), h, F.col("segments")) for h in range(HASHES)])).alias("at"))
-        for i, c in enumerate(columns)])).alias("x")).select("_file", "x.column", F.explode("x.at").alias("at"))
-    maps = (bits.groupBy("_file", "column", F.floor(F.col("at") / SEGMENT).alias("segment")).agg(F.bitmap_construct_agg(F.col("at") % SEGMENT).alias("bitmap"))
-            .groupBy("_file", "column").agg(F.map_from_entries(F.collect_list(F.struct("segment", "bitmap"))).alias("bitmaps")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = None
+        for batch in batches:
+            names = batch.column("_file").dictionary_encode()
+            code = names.indices.to_numpy()
+            starts = np.flatnonzero(np.diff(code, prepend=-1)).tolist()
+            for lo, hi in zip(starts, [*starts[1:], len(code)]):
+                file = names.dictionary[int(code[lo])].as_py()
+                if part is None or part.file != file:
+                    if part is not None:
+                        yield from part.batches()
+                    part = _FilePart(file, batch.column("segments")[lo].as_py(), columns)
+                part.add(batch.slice(lo, hi - lo))
+        if part is not None:
+            yield from part.batches()
 
-    def bound(i: int, kind: str) -> list[Column]:
-        return [(F.col(f"_{end}{i}") if k == kind else F.lit(None)).cast(t).alias(f"{k}_{name}") for k, t in _BOUNDS.items() for end, name in (("lo", "low"), ("hi", "high"))]
-
-    each = facts.select("_file", "rows", "segments", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), (F.col("rows") - F.col(f"_n{i}")).alias("nulls"), *bound(i, k)) for i, (c, k) in enumerate(columns.items())])).alias("x"))
-    return (each.select("_file", "x.*", "rows", "segments").join(maps, ["_file", "column"], "left")
-            .withColumn("bits", F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("segments") - 1), lambda s: F.coalesce(F.col("bitmaps"), F.create_map().cast("map<bigint,binary>"))[s])).drop("bitmaps"))
+    rows = rows.select(_name(F.col("_metadata.file_path")).alias("_file"), *[F.col(c).cast(_BOUNDS[k]).alias(f"_v{i}") for i, (c, k) in enumerate(columns.items())])
+    # A row per new file: as many as the paths that the driver lists.
+    sizes = rows.groupBy("_file").agg(F.greatest(F.lit(1).cast("bigint"), F.ceil(F.count(F.lit(1)) * BITS_PER_ROW / SEGMENT)).alias("segments"))
+    placed = rows.join(F.broadcast(sizes), "_file").select("*", *[
+        F.when(F.col(f"_v{i}").isNotNull(), _position(F.col(f"_v{i}"), h, F.col("segments"))).alias(f"_p{i}_{h}") for i in range(len(columns)) for h in range(HASHES)])
+    parts = placed.mapInArrow(run, _PARTS)
+    ends = [(F.min if n.endswith("low") else F.max)(n).alias(n) for n in _ENDS]
+    facts = [F.sum("rows").alias("rows"), F.max("segments").alias("segments"), F.sum("filled").alias("filled"), *ends]
+    # A file that was read by several tasks has parts to put together.
+    merged = parts.groupBy("_file", "column", "segment").agg(*facts, F.bitmap_or_agg("bitmap").alias("bitmap"))
+    whole = merged.groupBy("_file", "column").agg(*facts, F.map_from_entries(F.collect_list(F.when(F.col("segment").isNotNull(), F.struct("segment", "bitmap")))).alias("bitmaps"))
+    return whole.select("_file", "column", (F.col("rows") - F.col("filled")).alias("nulls"), *_ENDS, "rows", "segments",
+                        F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("segments") - 1), lambda s: F.col("bitmaps")[s]).alias("bits"))
 
 
 def update_index(spark: SparkSession, index: str, root: str, columns, schema: T.StructType = LANDED_SCHEMA) -> int:
@@ -83,6 +160,7 @@ def update_index(spark: SparkSession, index: str, root: str, columns, schema: T.
     paths = [r["path"] for r in new.select("path").collect()]
     if not paths:
         return 0
+    ship_package(spark)
     rows = spark.read.schema(schema).option("basePath", root).parquet(*paths)
     made = _index_rows(rows, {c: _kind(types[c]) for c in columns})
     made.join(listed.select("_file", "length"), "_file").write.mode("append").parquet(index)
