@@ -5,11 +5,12 @@ from pyspark.sql import functions as F
 
 from testkit import SF001
 from tidewater.functions.codec import decode_events
+from tidewater.functions.schema import PARTITION_KEYS
 from tidewater.functions.timefn import with_event_hour
 from tidewater.sources.envelope import event_envelope, read_replay, write_replay
 from tidewater.sources.fixtures import envelope_fixture
 from tidewater.sources.landed import read_landed
-from tidewater.streaming.ingest import ingest_metrics, run_ingest, start_ingest
+from tidewater.streaming.ingest import ONCE_SPREAD, ingest_metrics, run_ingest, start_ingest
 
 
 def _run(spark, topic, out, ck, **kw):
@@ -315,3 +316,23 @@ def test_repeated_records_land_once_and_their_state_is_bounded(spark, scratch):
     assert rows[-1] < n
     assert read_landed(spark, f"{base}/out").count() == n + later.count() + 6
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == store
+
+
+def test_records_landed_once_are_in_few_files(spark, scratch):
+    """The shuffle by key scatters every hour over all tasks; files are per hour, not per task and hour."""
+    base = scratch("once-files")
+    env = envelope_fixture(spark, SF001).withColumn("timestamp", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    write_replay(env.unionByName(env), f"{base}/topic")
+    env_in = event_envelope(spark, "replay", path=f"{base}/topic", starting="earliest", checkpoint=f"{base}/ck")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        run_ingest(start_ingest(env_in, f"{base}/out", f"{base}/ck", once=True, once_within="1 day", spread=1))
+        run_ingest(start_ingest(env_in, f"{base}/out-4", f"{base}/ck-4", once=True, once_within="1 day"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for out, most in (("out", 1), ("out-4", ONCE_SPREAD)):
+        landed = read_landed(spark, f"{base}/{out}")
+        assert landed.count() == env.count()
+        files = landed.groupBy(*PARTITION_KEYS).agg(F.count_distinct("_metadata.file_path").alias("files"), F.count(F.lit(1)).alias("n"))
+        assert files.agg(F.max("files")).first()[0] <= most and files.agg(F.max("n")).first()[0] > 1
